@@ -59,8 +59,8 @@ _LONG = f"""(from (select {", ".join(f"cast({c} as double) as {c}" for c in _MOD
 @query(duck(f"""
     select feature, round(low, 4) as low, round(high, 4) as high, round(fill, 4) as median,
            round(avg(prepared), 4) as mean, round(stddev_pop(prepared), 4) as std
-    from (select u.feature, low, high, fill, coalesce(greatest(least(v, high), case when v is not null then low end),
-                 fill) as prepared
+    from (select u.feature, low, high, fill, case when v < low then low when v > high then high
+                 else coalesce(v, fill) end as prepared
           from {_LONG} u join (select feature, quantile_cont(v, 0.01) as low, quantile_cont(v, 0.99) as high,
                                       median(v) as fill from {_LONG} group by feature) q on u.feature = q.feature)
     group by feature, low, high, fill"""))

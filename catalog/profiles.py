@@ -29,8 +29,8 @@ def overlap_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _histogram_sql(view: str, columns: list[str], low: str, high: str) -> str:
     as_doubles = ", ".join(f"cast({c} as double) as {c}" for c in columns)
     return duck(f"""
-        select column_name as "column", bin, round(lo + (hi - lo) / 50 * bin, 4) as lower_edge,
-               round(lo + (hi - lo) / 50 * (bin + 1), 4) as upper_edge,
+        select column_name as "column", cast(bin as integer) as bin, round(lo + (hi - lo) / 50 * bin, 7) as lower_edge,
+               round(lo + (hi - lo) / 50 * (bin + 1), 7) as upper_edge,
                count(case when least(floor((v - lo) / ((hi - lo) / 50)), 49) = bin and v between lo and hi then 1 end)
                    as row_count,
                count(case when v < lo or v > hi then 1 end) as outside_count
@@ -44,7 +44,7 @@ def _histogram_sql(view: str, columns: list[str], low: str, high: str) -> str:
 
 
 def _rounded_edges(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.round(c, 4) for c in ("lower_edge", "upper_edge")})
+    return df.withColumns({c: F.round(c, 7) for c in ("lower_edge", "upper_edge")})
 
 
 @query(_histogram_sql("financials", NUMERIC, "quantile_cont(v, 0.01)", "quantile_cont(v, 0.99)"))

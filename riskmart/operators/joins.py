@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.sources.scratch import checkpointed
+from riskmart.sources.scratch import settled
 
 HOT_ROWS = 1_000_000
 SAMPLE = 0.01
 MAX_HOT_KEYS = 1_000
 SALTS = 64
-BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def hot_keys(df: DataFrame, keys: list[str], rows: int = HOT_ROWS, sample: float = SAMPLE) -> list[int]:
@@ -88,26 +87,13 @@ def _salted(left, right, keys, how, hot_left, hot_right) -> DataFrame:
     return joined.drop("_salt")
 
 
-def lookup(df: DataFrame, small: DataFrame, keys: list[str], limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Left join of per-group statistics onto the rows of ``df``; ``keys`` are unique in ``small``.
+def lookup(df: DataFrame, small: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join of per-group statistics to the rows of ``df``.
 
-    ``small`` is computed once and its size checked: up to ``limit`` bytes it is broadcast and
-    ``df`` is not shuffled, beyond that it is joined with hot keys salted.
+    ``small`` is computed once and its size checked: it is broadcast, leaving ``df`` unshuffled,
+    only if it proves small, and otherwise joined with hot keys salted.
     """
-    small = checkpointed(small)
-    size = small.agg(F.sum(_row_bytes(small))).first()[0] or 0
-    if size <= limit:
-        return df.join(F.broadcast(small), keys, "left")
-    return skew_join(df, small, keys, "left")
-
-
-def _row_bytes(df: DataFrame) -> Column:
-    """Bytes of a row: 16 per scalar, the length of text, 16 per array entry."""
-    total = F.lit(0).cast("long")
-    for name, kind in df.dtypes:
-        if kind.startswith("array"):
-            total += F.coalesce(F.size(name), F.lit(0)) * 16
-        elif kind == "string":
-            total += F.coalesce(F.length(name), F.lit(0)) * 4
-        total += F.lit(16)
-    return total
+    small, fits = settled(small)
+    if fits:
+        return df.join(F.broadcast(small), keys, how)
+    return skew_join(df, small, keys, how)

@@ -6,7 +6,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.sources.scratch import checkpointed
+from riskmart.sources.scratch import settled
 
 
 def accuracy(scored: DataFrame) -> DataFrame:
@@ -31,7 +31,7 @@ def class_report(scored: DataFrame) -> DataFrame:
 
     A ratio without any row to count is 0.
     """
-    cells = checkpointed(confusion(scored))
+    cells, _ = settled(confusion(scored))
     hits = F.sum(F.when(F.col("label") == F.col("prediction"), F.col("row_count")).otherwise(0))
     actual = cells.groupBy(F.col("label").alias("class")).agg(hits.alias("hits"), F.sum("row_count").alias("support"))
     predicted = cells.groupBy(F.col("prediction").alias("class")).agg(F.sum("row_count").alias("predicted"))

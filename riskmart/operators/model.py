@@ -102,12 +102,13 @@ def fit_model(
     features: list[str],
     max_iter: int = 1000,
     strength: float = 1.0,
+    tolerance: float = 1e-6,
     exact: bool = True,
 ) -> DefaultModel:
     """Fit on rows with a 0/1 ``label``. ``strength`` is the inverse of the L2 penalty.
 
     The penalty is on the weighted sum of losses, whose weights sum to the row count; the
-    solver averages the losses, hence the division.
+    solver averages the losses, hence the division. ``tolerance`` ends the iterations.
     """
     stats = fit_stats(train, features, exact)
     counts = class_counts(train)
@@ -125,7 +126,7 @@ def fit_model(
         regParam=1.0 / (strength * sum(counts.values())),
         elasticNetParam=0.0,
         standardization=False,
-        tol=1e-9,
+        tol=tolerance,
     )
     return DefaultModel(stats, solver.fit(rows))
 

@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskmart.operators.joins import lookup
-from riskmart.sources.scratch import checkpointed
+from riskmart.sources.scratch import settled
 
 CELLS = 4096
 BUFFERED_VALUES = 5_000_000
@@ -47,54 +47,46 @@ def exact_quantiles(
 
     ``interpolate`` takes the point between the two nearest ranks; without it the result is
     the first value that at least the wanted share of rows does not exceed. Nulls and NaNs
-    are left out, and a column without values gives nulls. ``df`` is read once per pass, so
-    it should come straight from a stored table. Up to ``buffered`` values in all groups and
-    columns together go through Spark's percentile buffers.
+    are left out; a column without values gives null, a group without any has no row. ``df``
+    is read once per pass, so it should come straight from a stored table. Up to ``buffered``
+    values in all groups and columns together go through Spark's percentile buffers.
     """
     by = list(by)
-    values = df.select(*by, *[_number(name).alias(f"v{c}") for c, name in enumerate(columns)])
-    spans = []
-    for c in range(len(columns)):
-        spans += [F.count(f"v{c}").alias(f"n{c}"), F.min(f"v{c}").alias(f"lo{c}"), F.max(f"v{c}").alias(f"hi{c}")]
-    groups = checkpointed(values.groupBy(*by).agg(*spans))
-    total = groups.agg(F.sum(sum((F.col(f"n{c}") for c in range(len(columns))), F.lit(0)))).first()[0]
-    if (total or 0) <= buffered:
-        return values.groupBy(*by).agg(
-            *[_percentiles(f"v{c}", probabilities, interpolate).alias(name) for c, name in enumerate(columns)]
-        )
+    entries = [F.struct(F.lit(c).alias("c"), _number(name).alias("v")) for c, name in enumerate(columns)]
+    long = df.select(*by, F.inline(F.array(*entries))).filter("v is not null")
+    sizes, _ = settled(
+        long.groupBy(*by, "c").agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    )
+    if (sizes.agg(F.sum("n")).first()[0] or 0) <= buffered:
+        found = long.groupBy(*by, "c").agg(_percentiles(probabilities, interpolate).alias("quantiles"))
+    else:
+        found = _counted(long, sizes, probabilities, [*by, "c"], interpolate)
+    # One row per group and column so far.
+    return found.groupBy(*by).agg(
+        *[F.max(F.when(F.col("c") == c, F.col("quantiles"))).alias(name) for c, name in enumerate(columns)]
+    )
 
+
+def _counted(
+    long: DataFrame, sizes: DataFrame, probabilities: list[float], keys: list[str], interpolate: bool
+) -> DataFrame:
     # One row per rank to find: it lies in the range lo..hi, and ``below`` rows lie under that.
     wanted = [
         F.struct(
-            F.lit(c).alias("c"),
             F.lit(p).alias("p"),
             F.lit(side).alias("side"),
             rank.cast("long").alias("rank"),
             fraction.alias("fraction"),
-            F.col(f"lo{c}").alias("lo"),
-            F.col(f"hi{c}").alias("hi"),
             F.lit(0).cast("long").alias("below"),
         )
-        for c in range(len(columns))
         for p, share in enumerate(probabilities)
-        for side, rank, fraction in _ranks(F.col(f"n{c}"), share, interpolate)
+        for side, rank, fraction in _ranks(F.col("n"), share, interpolate)
     ]
-    targets = checkpointed(groups.select(*by, F.inline(F.array(*wanted))).filter("lo is not null"))
-    while True:
-        unsettled = _numbered_ranges(targets.filter("lo < hi"), by)
-        last = unsettled.agg(F.max("span")).first()[0]
-        if last is None:
-            break
-        narrowed = _narrowed(values, unsettled, by, len(columns), last + 1)
-        targets = checkpointed(targets.filter("lo >= hi").unionByName(narrowed))
-
-    found = targets.groupBy(*by).agg(
-        *[
-            F.array(*[_quantile(c, p) for p in range(len(probabilities))]).alias(name)
-            for c, name in enumerate(columns)
-        ]
-    )
-    return groups.select(*by).join(found, by, "left") if by else found
+    targets, _ = settled(sizes.select(*keys, "lo", "hi", F.inline(F.array(*wanted))))
+    while not targets.filter("lo < hi").isEmpty():
+        narrowed = _narrowed(long, targets.filter("lo < hi"), keys)
+        targets, _ = settled(targets.filter("lo >= hi").unionByName(narrowed))
+    return targets.groupBy(*keys).agg(F.array(*[_quantile(p) for p in range(len(probabilities))]).alias("quantiles"))
 
 
 def _number(name: str) -> Column:
@@ -102,10 +94,10 @@ def _number(name: str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def _percentiles(name: str, probabilities: list[float], interpolate: bool) -> Column:
+def _percentiles(probabilities: list[float], interpolate: bool) -> Column:
     if interpolate:
-        return F.array(*[F.percentile(name, p) for p in probabilities])
-    return F.array(*[F.expr(f"percentile_disc({p}) within group (order by {name})") for p in probabilities])
+        return F.percentile("v", [float(p) for p in probabilities])
+    return F.array(*[F.expr(f"percentile_disc({p}) within group (order by v)") for p in probabilities])
 
 
 def _ranks(n: Column, share: float, interpolate: bool) -> list[tuple[int, Column, Column]]:
@@ -117,70 +109,38 @@ def _ranks(n: Column, share: float, interpolate: bool) -> list[tuple[int, Column
     return [(0, F.floor(point) + 1, fraction), (1, F.ceil(point) + 1, fraction)]
 
 
-def _quantile(c: int, p: int) -> Column:
+def _quantile(p: int) -> Column:
     def of(side: int, name: str) -> Column:
-        return F.max(F.when((F.col("c") == c) & (F.col("p") == p) & (F.col("side") == side), F.col(name)))
+        return F.max(F.when((F.col("p") == p) & (F.col("side") == side), F.col(name)))
 
     lower, upper, fraction = of(0, "lo"), of(1, "lo"), of(0, "fraction")
     return F.when(lower < upper, lower * (1 - fraction) + upper * fraction).otherwise(lower)
 
 
-def _numbered_ranges(targets: DataFrame, by: list[str]) -> DataFrame:
-    """``targets`` with the number of its range; two ranges of a column are equal or disjoint."""
-    return targets.withColumn("span", F.dense_rank().over(W.partitionBy(*by, "c").orderBy("lo")) - 1)
+def _narrowed(long: DataFrame, targets: DataFrame, keys: list[str]) -> DataFrame:
+    """``targets`` with each range cut down to the cell that holds the rank.
 
-
-def _narrowed(values: DataFrame, targets: DataFrame, by: list[str], columns: int, spans: int) -> DataFrame:
-    """``targets`` with each range cut down to the cell that holds the rank."""
-
-    def edge(name: str, c: int, s: int) -> Column:
-        picked = F.when((F.col("c") == c) & (F.col("span") == s), F.col(name))
-        return F.max(picked).alias(f"{name}_{c}_{s}")
-
-    slots = [(c, s) for c in range(columns) for s in range(spans)]
-    edges = targets.groupBy(*by).agg(*[edge(name, c, s) for c, s in slots for name in ("lo", "hi")])
-    if by:
-        rows = lookup(values, edges, by)
-    else:
-        known = edges.first().asDict()
-        slots = [(c, s) for c, s in slots if known[f"lo_{c}_{s}"] is not None]
-        rows = values.select("*", *[F.lit(known[f"{name}_{c}_{s}"]).alias(f"{name}_{c}_{s}")
-                                    for c, s in slots for name in ("lo", "hi")])
-
-    def cell(c: int) -> Column:
-        v = F.col(f"v{c}")
-        inside = []
-        for s in [s for column, s in slots if column == c]:
-            lo, hi = F.col(f"lo_{c}_{s}"), F.col(f"hi_{c}_{s}")
-            # Halves, so that the width of the widest range does not overflow.
-            position = F.floor((v / 2 - lo / 2) / (hi / 2 - lo / 2) * CELLS)
-            inside.append(F.when(v.between(lo, hi), s * CELLS + F.least(position, F.lit(CELLS - 1))))
-        return F.coalesce(*inside)
-
-    entries = [
-        F.struct(F.lit(c).alias("c"), cell(c).cast("int").alias("cell"), F.col(f"v{c}").alias("v"))
-        for c in sorted({c for c, _ in slots})
-    ]
+    Two ranges of a column are equal or disjoint, so a value falls into one of them at most.
+    """
+    targets = targets.withColumn("span", F.dense_rank().over(W.partitionBy(*keys).orderBy("lo")))
+    ranges = targets.select(*keys, "span", "lo", "hi").distinct()
+    # Halves, so that the width of the widest range does not overflow.
+    position = F.floor((F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2) * CELLS)
     cells = (
-        rows.select(*by, F.inline(F.array(*entries)))
-        .filter("cell is not null")
-        .groupBy(*by, "c", "cell")
+        lookup(long, ranges, keys, "inner")
+        .filter(F.col("v").between(F.col("lo"), F.col("hi")))
+        .groupBy(*keys, "span", F.least(position, F.lit(CELLS - 1)).alias("cell"))
         .agg(F.count("*").alias("rows"), F.min("v").alias("cell_lo"), F.max("v").alias("cell_hi"))
-        .withColumn("span", F.floor(F.col("cell") / CELLS).cast("int"))
     )
     # At most CELLS rows per range.
-    order = W.partitionBy(*by, "c", "span").orderBy("cell")
+    order = W.partitionBy(*keys, "span").orderBy("cell")
     cells = cells.withColumn("upto", F.sum("rows").over(order))
-    holds = (F.col("rank") > F.col("below") + F.col("upto") - F.col("rows")) & (
-        F.col("rank") <= F.col("below") + F.col("upto")
-    )
+    before = F.col("below") + F.col("upto") - F.col("rows")
     return (
-        targets.join(cells, [*by, "c", "span"])
-        .filter(holds)
+        targets.join(cells, [*keys, "span"])
+        .filter((F.col("rank") > before) & (F.col("rank") <= F.col("below") + F.col("upto")))
         .select(
-            *by, "c", "p", "side", "rank", "fraction",
-            F.col("cell_lo").alias("lo"),
-            F.col("cell_hi").alias("hi"),
-            (F.col("below") + F.col("upto") - F.col("rows")).alias("below"),
+            *keys, F.col("cell_lo").alias("lo"), F.col("cell_hi").alias("hi"),
+            "p", "side", "rank", "fraction", before.alias("below"),
         )
     )

@@ -12,7 +12,7 @@ from riskmart.operators.model import DefaultModel, fit_model
 from riskmart.operators.profile import distribution
 from riskmart.operators.training import check_split, chronological_split, feature_columns, training_set
 from riskmart.plans.backfill import BASELINE, FULL, LABELS, Datamart
-from riskmart.sources.scratch import Staging, checkpointed
+from riskmart.sources.scratch import Staging, settled
 from riskmart.sources.snapshots import write_result
 
 
@@ -62,9 +62,9 @@ def train_evaluate(
             model,
             metrics_table(spark, rows, feature_set, train_end),
             model.coefficients(spark),
-            checkpointed(distribution(merged)),
-            checkpointed(tables["confusion"][0].unionByName(tables["confusion"][1])),
-            checkpointed(tables["report"][0].unionByName(tables["report"][1])),
+            settled(distribution(merged))[0],
+            settled(tables["confusion"][0].unionByName(tables["confusion"][1]))[0],
+            settled(tables["report"][0].unionByName(tables["report"][1]))[0],
         )
 
 

@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 FOLDER_SETTING = "spark.checkpoint.dir"
+SMALL_CELLS = 500_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,11 +29,24 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """The same rows, computed once and kept on the shared folder. Meant for small tables."""
+    """The same rows, computed once and kept on the shared folder."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def settled(df: DataFrame) -> tuple[DataFrame, bool]:
+    """A table of statistics computed once, and whether it is small enough to broadcast.
+
+    Up to ``SMALL_CELLS`` values it becomes part of the plan of whatever uses it; no more than
+    that is ever fetched. A larger one is checkpointed.
+    """
+    rows = SMALL_CELLS // len(df.columns)
+    head = df.limit(rows + 1).toArrow()
+    if head.num_rows <= rows:
+        return df.sparkSession.createDataFrame(head, df.schema), True
+    return checkpointed(df), False
+
+
 class Staging:
     """Written intermediate tables under one new folder, removed when used as a context manager."""
 

@@ -11,10 +11,13 @@ from pyspark.sql import types as T
 from riskmart.schemas import SNAPSHOT
 from riskmart.sources.scratch import delete_path, hadoop_path
 
+# Text cells keep their blanks on the way out as on the way in.
+CSV_OPTIONS = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 
 def read_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Raw CSV with a header, every column as text, columns matched by header name."""
-    df = spark.read.option("header", True).csv(path)
+    df = spark.read.options(**CSV_OPTIONS).csv(path)
     absent = [name for name in schema.names if name not in df.columns]
     if absent:
         raise ValueError(f"{path} lacks the columns {absent}")
@@ -70,7 +73,7 @@ def write_snapshots(
     grouped = df.hint("rebalance", SNAPSHOT) if rebalance else df
     writer = grouped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(SNAPSHOT)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(**CSV_OPTIONS)
     writer.format(fmt).save(root)
     for day in stale:
         delete_path(df.sparkSession, stored[day])
@@ -102,7 +105,7 @@ def read_snapshots(
         fields = [f for f in schema.fields if f.name != SNAPSHOT]
         reader = reader.schema(T.StructType([*fields, T.StructField(SNAPSHOT, T.DateType())]))
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.options(**CSV_OPTIONS)
     df = reader.load(root)
     return snapshot_range(df.withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("date")), start, end)
 
