@@ -7,22 +7,36 @@ from pyspark.sql import functions as F
 
 from catalog import query
 from catalog.views import VALID_SNAPSHOTS, duck, duck_round, plain, raw, table
+from riskmart.functions import encoding
 from riskmart.operators import features, silver
 from riskmart.schemas import CLICKSTREAM_FEATURES
 from riskmart.sources.scratch import Staging
 
 
+def financials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.silver_financials(raw(spark, sf_dir, "raw_financials"))
+
+
+def stored(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    """The silver table of a feature source, written and read back as the layers do."""
+    build = {
+        "financials": silver.silver_financials,
+        "attributes": silver.silver_attributes,
+        "clickstream": silver.silver_clickstream,
+    }[source]
+    return Staging(spark).table(build(raw(spark, sf_dir, f"raw_{source}")), source)
+
+
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.join_attributes(
-        silver.silver_financials(raw(spark, sf_dir, "raw_financials")),
-        silver.silver_attributes(raw(spark, sf_dir, "raw_attributes")),
-    )
+    return features.join_attributes(stored(spark, sf_dir, "financials"), stored(spark, sf_dir, "attributes"))
 
 
 def full_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clickstream = silver.silver_clickstream(raw(spark, sf_dir, "raw_clickstream"))
-    valid = features.in_snapshots(base(spark, sf_dir), VALID_SNAPSHOTS)
-    joined = features.join_clickstream(valid, features.in_snapshots(clickstream, VALID_SNAPSHOTS))
+    financials, attributes, clickstream = (
+        features.in_snapshots(stored(spark, sf_dir, source), VALID_SNAPSHOTS)
+        for source in ("financials", "attributes", "clickstream")
+    )
+    joined = features.join_clickstream(features.join_attributes(financials, attributes), clickstream)
     return features.pad_clickstream(joined)
 
 
@@ -51,8 +65,7 @@ def pad_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(duck("select * exclude (Age, Occupation, Credit_Mix, Payment_of_Min_Amount, Payment_Behaviour, "
             "Credit_Utilization_Ratio) from base_fixed"))
 def fix_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    financials = silver.silver_financials(raw(spark, sf_dir, "raw_financials"))
-    fixed = features.fix_negatives(financials)
+    fixed = features.fix_negatives(financials(spark, sf_dir))
     return plain(fixed.select("Customer_ID", *features.CLAMP_COLUMNS, "snapshot_date"))
 
 
@@ -92,22 +105,27 @@ def clamp_large_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
            case Credit_Mix when 'bad' then 0 when 'standard' then 1 when 'good' then 2 else -1 end as credit_mix
     from financials"""))
 def encode_credit_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = features.encode_categories(base(spark, sf_dir))
-    return df.select("Customer_ID", "snapshot_date", F.col("Credit_Mix_encoded").alias("credit_mix"))
+    code = encoding.credit_mix_code(F.col("Credit_Mix"))
+    return financials(spark, sf_dir).select("Customer_ID", "snapshot_date", code.alias("credit_mix"))
 
 
 @query(duck("""
     select Customer_ID, snapshot_date, case Payment_of_Min_Amount when 'yes' then 1 when 'no' then 0 else -1 end
            as min_amount from financials"""))
 def encode_min_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = features.encode_categories(base(spark, sf_dir))
-    return df.select("Customer_ID", "snapshot_date", F.col("Payment_of_Min_Amount_encoded").alias("min_amount"))
+    code = encoding.min_amount_code(F.col("Payment_of_Min_Amount"))
+    return financials(spark, sf_dir).select("Customer_ID", "snapshot_date", code.alias("min_amount"))
 
 
 @query(duck("select Customer_ID, snapshot_date, pb_spent_level, pb_payment_size from base_gold"))
 def encode_behaviour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = features.encode_categories(base(spark, sf_dir))
-    return df.select("Customer_ID", "snapshot_date", "pb_spent_level", "pb_payment_size")
+    text = F.col("Payment_Behaviour")
+    return financials(spark, sf_dir).select(
+        "Customer_ID",
+        "snapshot_date",
+        encoding.spent_level_code(text).alias("pb_spent_level"),
+        encoding.payment_size_code(text).alias("pb_payment_size"),
+    )
 
 
 @query(duck("select Customer_ID, snapshot_date, Occupation_encoded from base_gold"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import query
-from catalog.features import base, full_base
+from catalog.features import base, financials, full_base
 from catalog.views import duck, raw, table
 from riskmart.operators import profile, silver
 from riskmart.schemas import CLICKSTREAM_FEATURES, FINANCIAL_TYPES
@@ -15,10 +15,6 @@ from riskmart.sources.scratch import Staging
 NUMERIC = [c for c, kind in FINANCIAL_TYPES.items() if kind != "string"]
 
 
-def financials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.silver_financials(raw(spark, sf_dir, "raw_financials"))
-
-
 @query(duck("""
     select snapshot_date, count(*) as total, count(fe_1) as matched, count(fe_1) / count(*) * 100 as match_pct,
            count(fe_1) / count(*) * 100 < 80 as warn from full_base group by snapshot_date"""))
@@ -29,8 +25,8 @@ def overlap_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _histogram_sql(view: str, columns: list[str], low: str, high: str) -> str:
     as_doubles = ", ".join(f"cast({c} as double) as {c}" for c in columns)
     return duck(f"""
-        select column_name as "column", cast(bin as integer) as bin, round(lo + (hi - lo) / 50 * bin, 7) as lower_edge,
-               round(lo + (hi - lo) / 50 * (bin + 1), 7) as upper_edge,
+        select column_name as "column", cast(bin as integer) as bin, lo + (hi - lo) / 50 * bin as lower_edge,
+               lo + (hi - lo) / 50 * (bin + 1) as upper_edge,
                count(case when least(floor((v - lo) / ((hi - lo) / 50)), 49) = bin and v between lo and hi then 1 end)
                    as row_count,
                count(case when v < lo or v > hi then 1 end) as outside_count
@@ -43,20 +39,26 @@ def _histogram_sql(view: str, columns: list[str], low: str, high: str) -> str:
         group by column_name, bin, lo, hi""")
 
 
-def _rounded_edges(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.round(c, 7) for c in ("lower_edge", "upper_edge")})
+def _point(share: float) -> str:
+    """Interpolated quantile as the weighted sum of its two neighbours."""
+    spot = f"(count(v) - 1) * {share}::double"
+    sorted_values = "list(v order by v)"
+    return (
+        f"({sorted_values})[cast(floor({spot}) as bigint) + 1] * (floor({spot}) + 1 - {spot})"
+        f" + ({sorted_values})[cast(ceil({spot}) as bigint) + 1] * ({spot} - floor({spot}))"
+    )
 
 
-@query(_histogram_sql("financials", NUMERIC, "quantile_cont(v, 0.01)", "quantile_cont(v, 0.99)"))
+@query(_histogram_sql("financials", NUMERIC, _point(0.01), _point(0.99)))
 def histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = Staging(spark).table(financials(spark, sf_dir), "financials")
-    return _rounded_edges(profile.histogram(stored, profile.numeric_columns(stored)))
+    return profile.histogram(stored, profile.numeric_columns(stored))
 
 
 @query(_histogram_sql("clickstream", CLICKSTREAM_FEATURES, "min(v)", "max(v)"))
 def clickstream_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     clickstream = silver.silver_clickstream(raw(spark, sf_dir, "raw_clickstream"))
-    return _rounded_edges(profile.full_range_histogram(clickstream, CLICKSTREAM_FEATURES))
+    return profile.full_range_histogram(clickstream, CLICKSTREAM_FEATURES)
 
 
 @query(duck(" union all ".join(

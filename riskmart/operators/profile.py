@@ -89,7 +89,8 @@ def _binned(df: DataFrame, limits: dict[str, tuple[float | None, float | None]],
         spot = F.least(F.floor((value - lo) / ((hi - lo) / bins)), F.lit(bins - 1)).cast("int")
         return F.struct(
             F.lit(position).alias("c"),
-            F.when((value < lo) | (value > hi), -1).otherwise(spot).alias("bin"),
+            # Null stays null; least() alone would turn it into the last bin.
+            F.when((value < lo) | (value > hi), -1).when(value.isNotNull(), spot).alias("bin"),
             ((value < first) | (value > last)).cast("int").alias("outside"),
         )
 
