@@ -65,7 +65,7 @@ def histogram(
     """Equal bins per column between two exact quantiles, and the rows outside of them."""
     columns = columns or numeric_columns(df)
     limits = exact_quantiles(df, columns, list(shares)).first()
-    return _binned(df, {c: (limits[c][0], limits[c][1]) for c in columns}, bins)
+    return _binned(df, {c: tuple(limits[c] or (None, None)) for c in columns}, bins)
 
 
 def full_range_histogram(df: DataFrame, columns: list[str], bins: int = BINS) -> DataFrame:
@@ -124,11 +124,21 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def correlation(df: DataFrame, columns: list[str] = CORRELATED) -> DataFrame:
-    """Pearson matrix as rows, each pair over the rows in which both columns are known."""
+    """Pearson matrix as rows, each pair over the rows in which both columns are known.
+
+    Null where a column does not vary over those rows.
+    """
     values = df.select([F.col(c).cast("double").alias(c) for c in columns])
+
+    def spread(a: str, b: str) -> Column:
+        return F.stddev_pop(F.when(F.col(b).isNotNull(), F.col(a)))
+
     pairs = list(combinations(columns, 2))
     matrix = values.agg(
-        *[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)],
+        *[
+            F.try_divide(F.covar_pop(a, b), spread(a, b) * spread(b, a)).alias(f"r{i}")
+            for i, (a, b) in enumerate(pairs)
+        ],
         *[F.when(F.stddev_pop(c) > 0, 1.0).alias(f"d{i}") for i, c in enumerate(columns)],
     )
     cells = [(c, c, f"d{i}") for i, c in enumerate(columns)]

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from riskmart.schemas import SNAPSHOT
 from riskmart.sources.scratch import delete_path, hadoop_path
 
-# Text cells keep their blanks on the way out as on the way in.
+# Text cells keep their blanks on the way out as on the way in; an empty cell is null.
 CSV_OPTIONS = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
