@@ -46,8 +46,7 @@ def clean_number(text: Column, kind: str) -> Column:
 def clean_category(text: Column) -> Column:
     """Lower-cased, trimmed text; 'na' where nothing alphanumeric is in it."""
     tidy = F.trim(F.lower(text))
-    letters = F.regexp_replace(F.coalesce(tidy, F.lit("")), "[^a-zA-Z0-9]", "")
-    return F.when(letters == "", MISSING).otherwise(tidy)
+    return F.when(tidy.rlike("[a-zA-Z0-9]"), tidy).otherwise(MISSING)
 
 
 def clean_loan_list(text: Column, drop_unspecified: bool = False) -> Column:

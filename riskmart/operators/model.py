@@ -50,14 +50,10 @@ def fit_stats(train: DataFrame, features: list[str], exact: bool = True) -> list
     if empty:
         raise ValueError(f"no training value in {empty}")
     rough = [FeatureStats(c, quantiles[c][0], quantiles[c][2], quantiles[c][1], 0.0, 1.0) for c in features]
-    moments = train.agg(
-        *[F.avg(s.prepared()).alias(f"mean{i}") for i, s in enumerate(rough)],
-        *[F.stddev_pop(s.prepared()).alias(f"std{i}") for i, s in enumerate(rough)],
-    ).first()
-    return [
-        FeatureStats(s.feature, s.low, s.high, s.median, moments[f"mean{i}"], moments[f"std{i}"])
-        for i, s in enumerate(rough)
-    ]
+    entries = [F.struct(F.lit(i).alias("i"), s.prepared().alias("x")) for i, s in enumerate(rough)]
+    moments = train.select(F.inline(F.array(*entries))).groupBy("i").agg(F.avg("x"), F.stddev_pop("x"))
+    found = {i: (mean, std) for i, mean, std in moments.collect()}
+    return [FeatureStats(s.feature, s.low, s.high, s.median, *found[i]) for i, s in enumerate(rough)]
 
 
 def class_counts(train: DataFrame) -> dict[int, int]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import combinations
+from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -129,20 +129,17 @@ def correlation(df: DataFrame, columns: list[str] = CORRELATED) -> DataFrame:
     Null where a column does not vary over those rows.
     """
     values = df.select([F.col(c).cast("double").alias(c) for c in columns])
-
-    def spread(a: str, b: str) -> Column:
-        return F.stddev_pop(F.when(F.col(b).isNotNull(), F.col(a)))
-
-    pairs = list(combinations(columns, 2))
-    matrix = values.agg(
-        *[
-            F.try_divide(F.covar_pop(a, b), spread(a, b) * spread(b, a)).alias(f"r{i}")
-            for i, (a, b) in enumerate(pairs)
-        ],
-        *[F.when(F.stddev_pop(c) > 0, 1.0).alias(f"d{i}") for i, c in enumerate(columns)],
+    # One row per pair and input row, which never leaves the partial aggregate.
+    pairs = list(combinations_with_replacement(columns, 2))
+    entries = [F.struct(F.lit(i).alias("i"), F.col(a).alias("a"), F.col(b).alias("b")) for i, (a, b) in enumerate(pairs)]
+    known = values.select(F.inline(F.array(*entries))).filter("a is not null and b is not null")
+    r = F.try_divide(F.covar_pop("a", "b"), F.stddev_pop("a") * F.stddev_pop("b"))
+    found = known.groupBy("i").agg(r.alias("r"))
+
+    cells = [F.struct(F.lit(i).alias("i"), F.lit(a).alias("column_a"), F.lit(b).alias("column_b"))
+             for i, pair in enumerate(pairs) for a, b in sorted({pair, pair[::-1]})]
+    matrix = df.sparkSession.range(1).select(F.inline(F.array(*cells)))
+    same = F.col("column_a") == F.col("column_b")
+    return matrix.join(found, "i", "left").select(
+        "column_a", "column_b", F.when(same & F.col("r").isNotNull(), 1.0).otherwise(F.col("r")).alias("r")
     )
-    cells = [(c, c, f"d{i}") for i, c in enumerate(columns)]
-    for i, (a, b) in enumerate(pairs):
-        cells += [(a, b, f"r{i}"), (b, a, f"r{i}")]
-    entries = [F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(r).alias("r")) for a, b, r in cells]
-    return matrix.select(F.inline(F.array(*entries)))

@@ -63,20 +63,23 @@ def write_snapshots(
     ``span`` names the (start, end) a rerun covers: a stored snapshot within it that has no
     rows any more is removed, so the rerun leaves what a first run would have left.
     """
-    stale: set[str] = set()
-    if span is not None:
-        stored = stored_snapshots(df.sparkSession, root)
-        stale = {day for day in stored if _within(day, span)}
-        if stale:
-            kept = df.select(F.col(SNAPSHOT).cast("string")).distinct().collect()
-            stale -= {row[0] for row in kept}
+    spark = df.sparkSession
+    stored = stored_snapshots(spark, root) if span is not None else {}
+    before = {path: _files(spark, path) for day, path in stored.items() if _within(day, span)}
     grouped = df.hint("rebalance", SNAPSHOT) if rebalance else df
     writer = grouped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(SNAPSHOT)
     if fmt == "csv":
         writer = writer.options(**CSV_OPTIONS)
     writer.format(fmt).save(root)
-    for day in stale:
-        delete_path(df.sparkSession, stored[day])
+    # File names are new with every write, so a folder with the same names was not replaced.
+    for path, names in before.items():
+        if _files(spark, path) == names:
+            delete_path(spark, path)
+
+
+def _files(spark: SparkSession, path: str) -> set[str]:
+    system, location = hadoop_path(spark, path)
+    return {status.getPath().getName() for status in system.listStatus(location)}
 
 
 def _within(day: str, span: tuple[str, str]) -> bool:
