@@ -68,3 +68,11 @@ def test_grouped_approximation_equals_one_call_per_group(sample):
     have = {r["g"]: r["skewed"] for r in approx_quantiles(df, ["skewed"], [0.01, 0.99], ["g"]).collect()}
     for g in have:
         assert have[g] == df.filter(df.g == g).approxQuantile("skewed", [0.01, 0.99], 0.001)
+
+
+def test_statistics_too_large_to_broadcast(sample, monkeypatch):
+    _, df = sample
+    want = {r["g"]: r["skewed"] for r in exact_quantiles(df, ["skewed"], SHARES, ["g"], interpolate=False).collect()}
+    monkeypatch.setattr("riskmart.sources.scratch.SMALL_CELLS", 20)
+    have = exact_quantiles(df, ["skewed"], SHARES, ["g"], interpolate=False, buffered=0).collect()
+    assert {r["g"]: r["skewed"] for r in have} == want
