@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskmart.llm import sharding  # noqa: F401
+from riskmart.llm import sharding, token_counts  # noqa: F401
 from riskmart.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
