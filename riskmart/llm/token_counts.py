@@ -35,7 +35,8 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = LIMIT) -> DataFra
             tokens = np.zeros(batch.num_rows, np.int64)
             if len(data):
                 pieces = safe_pieces(data, offsets)
-                sums = np.concatenate([[0], np.cumsum(encode.lengths[encode.places_of(pieces)])])
+                places = encode.places_of(pieces)
+                sums = np.concatenate([[0], np.cumsum(encode.lengths[places])])
                 rows = pieces.rows
                 tokens = sums[rows[1:]] - sums[rows[:-1]]
             yield pa.RecordBatch.from_arrays(
