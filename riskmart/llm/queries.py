@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskmart.llm import packing, quality, secrets, sharding, token_counts  # noqa: F401
+from riskmart.llm import packing, pii, quality, secrets, sharding, token_counts  # noqa: F401
 from riskmart.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
