@@ -114,18 +114,21 @@ def words(column: pa.Array) -> Words:
     return Words(data, starts, np.flatnonzero(ends) + 1, np.searchsorted(starts, offsets))
 
 
-def runs(hashes: np.ndarray, length: int, other: bool = False) -> np.ndarray:
-    """Hash of the run of ``length`` words from every word on that has so many words after it.
-
-    Runs may reach over the end of a row; the caller leaves those out. ``other`` gives a second,
-    independent hash.
-    """
-    if len(hashes) < length:
-        return np.zeros(0, np.uint64)
-    up, down = (_OTHER_WORDS if other else _WORDS)(len(hashes) + 1)
-    sums = np.zeros(len(hashes) + 1, np.uint64)
-    np.cumsum((hashes ^ np.uint64(_ODD) if other else hashes) * up[1:], out=sums[1:])
-    return mixed((sums[length:] - sums[:-length]) * down[: len(sums) - length])
+class Runs:
+    """Hashes of runs of words; ``other`` gives a second, independent hash."""
+
+    def __init__(self, hashes: np.ndarray, other: bool = False):
+        up, self.down = (_OTHER_WORDS if other else _WORDS)(len(hashes) + 1)
+        self.sums = np.zeros(len(hashes) + 1, np.uint64)
+        np.cumsum((hashes ^ np.uint64(_ODD) if other else hashes) * up[1:], out=self.sums[1:])
+
+    def between(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mixed((self.sums[ends] - self.sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
+
+    def of_length(self, length: int) -> np.ndarray:
+        """Of the run from every word on that has so many words after it, over the ends of rows too."""
+        starts = np.arange(max(0, len(self.sums) - length))
+        return self.between(starts, starts + length)
 
 
 def inside_rows(rows: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
