@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskmart.llm import jaccard, packing, pii, quality, secrets, sharding, substrings, token_counts  # noqa: F401
+from riskmart.llm import jaccard, neighbours, packing, pii, quality, secrets, sharding, substrings, token_counts  # noqa: F401
 from riskmart.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
