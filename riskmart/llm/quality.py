@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskmart.llm.registry import query, table
-from riskmart.sources.scratch import Staging, checkpointed
+from riskmart.sources.scratch import Staging
 
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK_CLASS = r"[\x20\x09-\x0D]"
@@ -103,7 +103,7 @@ def shape() -> list[Column]:
     ]
 
 
-def with_verdict(stats: DataFrame, by: list[str], far: float = FAR) -> DataFrame:
+def with_verdict(stats: DataFrame, by: list[str], staging: Staging, far: float = FAR) -> DataFrame:
     """``stats`` with ``distance`` (squared; null without an estimate) and ``kept``.
 
     ``by`` are the columns of a group, the broadest first. ``stats`` is read once per step, so it
@@ -115,10 +115,10 @@ def with_verdict(stats: DataFrame, by: list[str], far: float = FAR) -> DataFrame
     sizes = stats.filter(good).groupBy(narrow.alias("_narrow"), broad.alias("_broad")).agg(F.count("*").alias("_n"))
     broad_size = F.sum("_n").over(W.partitionBy("_broad"))
     group = F.when(F.col("_n") >= MIN_ROWS, F.col("_narrow")).when(broad_size >= MIN_ROWS, F.col("_broad"))
-    groups = checkpointed(sizes.select("_narrow", group.alias("_group")))
+    groups = staging.table(sizes.select("_narrow", group.alias("_group")), "groups")
     placed = stats.withColumn("_narrow", narrow).join(groups, "_narrow", "left")
     points = placed.withColumns(dict(zip(SHAPE, shape())))
-    fit = estimates(points.filter(good & F.col("_group").isNotNull()).select("_group", *SHAPE))
+    fit = estimates(points.filter(good & F.col("_group").isNotNull()).select("_group", *SHAPE), staging)
     distance = F.when(good, mahalanobis())
     judged = points.join(fit, "_group", "left").withColumn("distance", distance)
     kept = good & F.coalesce(F.col("distance") <= chi_square_quantile(far, len(SHAPE)), F.lit(True))
@@ -134,19 +134,25 @@ def _keys(used: list[str], all_keys: list[str]) -> list[Column]:
     return parts
 
 
-def estimates(points: DataFrame) -> DataFrame:
-    """Centre ``m*`` and Cholesky factor ``l*_*`` of the scatter of each ``_group``."""
+def estimates(points: DataFrame, staging: Staging) -> DataFrame:
+    """Centre ``m*`` and Cholesky factor ``l*_*`` of the scatter of each ``_group``.
+
+    The estimates after each step are written, so the next step's plan knows how small they are and need not
+    bring the points of a group together to join them.
+    """
     p = len(SHAPE)
     middle = points.groupBy("_group").agg(*[F.percentile_approx(x, 0.5, 1000).alias(f"m{i}") for i, x in enumerate(SHAPE)])
+    middle = staging.table(middle, "middle")
     spread = points.join(middle, "_group").groupBy("_group").agg(
         *[F.first(f"m{i}").alias(f"m{i}") for i in range(p)],
         *[F.percentile_approx(F.abs(F.col(x) - F.col(f"m{i}")), 0.5, 1000).alias(f"s{i}") for i, x in enumerate(SHAPE)],
     )
     factor = {f"l{i}_{j}": F.greatest(1.4826 * F.col(f"s{i}"), F.lit(FLOORS[i])) if i == j else F.lit(0.0) for i in range(p) for j in range(i + 1)}
-    fit = checkpointed(spread.select("_group", *[f"m{i}" for i in range(p)], *[v.alias(k) for k, v in factor.items()]))
-    for _ in range(STEPS):
-        fit = checkpointed(_step(points, fit, SUPPORT, None))
-    return checkpointed(_step(points, fit, USUAL, chi_square_quantile(USUAL, p)))
+    fit = spread.select("_group", *[f"m{i}" for i in range(p)], *[v.alias(k) for k, v in factor.items()])
+    fit = staging.table(fit, "fit")
+    for step in range(STEPS):
+        fit = staging.table(_step(points, fit, SUPPORT, None), f"fit{step}")
+    return staging.table(_step(points, fit, USUAL, chi_square_quantile(USUAL, p)), "estimates")
 
 
 def _step(points: DataFrame, fit: DataFrame, share: float, within: float | None) -> DataFrame:
@@ -230,7 +236,7 @@ def quality_filter(docs: DataFrame, staging: Staging) -> DataFrame:
 
 def judged(docs: DataFrame, staging: Staging) -> DataFrame:
     stats = staging.table(with_statistics(docs), "statistics")
-    return with_verdict(stats, ["lang", "source"])
+    return with_verdict(stats, ["lang", "source"], staging)
 
 
 @query("op5_quality")
@@ -238,4 +244,4 @@ def op5_quality(spark, sf_dir):
     staging = Staging(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     stats = staging.table(with_statistics(docs).drop("text"), "statistics")
-    return with_verdict(stats, ["lang", "source"]).select("doc_id", *STATISTICS, "base_failed", "kept", "distance")
+    return with_verdict(stats, ["lang", "source"], staging).select("doc_id", *STATISTICS, "base_failed", "kept", "distance")
