@@ -186,9 +186,11 @@ def with_spans(docs: DataFrame, staging: Staging, keep: list[str] | None = None)
 def redacted(docs: DataFrame, staging: Staging, label: str = "[PII]") -> DataFrame:
     """The documents with every span replaced by a label."""
     by_start = F.sort_array(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
-    out = with_spans(docs, staging)
-    out = out.withColumn("text", F.when(F.col("text").isNotNull(), replaced(F.col("text"), by_start, label)))
-    return out.select(*[f"`{c}`" for c in docs.columns if c not in ("base", "spans")])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    out = with_spans(docs.select(row, "text"), staging)
+    out = out.select("row", F.when(F.col("text").isNotNull(), replaced(F.col("text"), by_start, label)).alias("text"))
+    columns = {c: F.col(f"row.`{c}`") for c in docs.columns} | {"text": F.col("text")}
+    return out.select(*[value.alias(c) for c, value in columns.items()])
 
 
 @query("op4_pii")

@@ -152,12 +152,13 @@ def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def redacted(docs: DataFrame) -> DataFrame:
     """The documents with every secret replaced by a label, and ``n_chars``, if there is one, to match."""
-    out = with_spans(docs)
+    out = with_spans(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text"))
     text = F.when(F.col("text").isNotNull(), replaced(F.col("text"), F.col("spans"), LABEL))
-    out = out.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast("long"))
-    return out.select(*[f"`{c}`" for c in docs.columns])
+    out = out.select("row", text.alias("text"))
+    columns = {c: F.col(f"row.`{c}`") for c in docs.columns} | {"text": F.col("text")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.char_length("text").cast("long")
+    return out.select(*[value.alias(c) for c, value in columns.items()])
 
 
 @query("op8_secrets")

@@ -87,13 +87,14 @@ def external_shuffle(
 
 def dealt(placed: DataFrame, shards: int, columns: list[Column]) -> DataFrame:
     """The order of the buckets dealt out in turn: ``columns`` of each record, its shard and slot."""
-    rank = F.col("first") + F.col("pos")
+    rank = F.col("_first") + F.col("_pos")
+    offsets = bucket_offsets(placed).select(F.col("bucket").alias("_bucket"), F.col("first").alias("_first"))
     return (
-        placed.select("bucket", "pos", *columns)
-        .join(bucket_offsets(placed), "bucket")
+        placed.select(F.col("bucket").alias("_bucket"), F.col("pos").alias("_pos"), *columns)
+        .join(offsets, "_bucket")
         .withColumn("shard", F.pmod(rank, F.lit(shards)).cast("int"))
-        .withColumn("slot", F.floor(rank / shards).cast("long"))
-        .drop("bucket", "pos", "first")
+        .withColumn("slot", ((rank - F.pmod(rank, F.lit(shards))) / shards).cast("long"))
+        .drop("_bucket", "_pos", "_first")
     )
 
 
