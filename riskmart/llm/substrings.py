@@ -284,7 +284,29 @@ def joined_words(text: w.Words, kept: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out, np.concatenate([[0], np.cumsum(sizes)])
 
 
-@query("op3_substrings")
+SQL = r"""
+WITH texts AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+    SELECT doc_id, i, array_to_string(words[i : i + 34], ' ') AS window_words
+    FROM texts, unnest(range(1, len(words) - 33)) AS places(i)
+), repeated AS (
+    SELECT window_words FROM windows GROUP BY window_words HAVING count(*) > 1
+), covered AS (
+    SELECT DISTINCT doc_id, i + j AS place FROM windows JOIN repeated USING (window_words), unnest(range(35)) AS steps(j)
+), placed AS (
+    SELECT doc_id, place, words[place] AS word FROM texts, unnest(range(1, len(words) + 1)) AS places(place)
+), kept AS (
+    SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY place) AS kept_words
+    FROM placed ANTI JOIN covered USING (doc_id, place) GROUP BY doc_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n_kept, 0))::BIGINT AS n_removed,
+    sha256(coalesce(kept_words, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op3_substrings", SQL)
 def op3_substrings(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return without_repeats(docs, Staging(spark)).select("doc_id", "n_words", "n_removed", "kept_sha256")
