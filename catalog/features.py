@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import query
 from catalog.views import VALID_SNAPSHOTS, duck, duck_round, plain, raw, table
 from riskmart.functions import encoding
 from riskmart.operators import features, silver
+from riskmart.operators.joins import lookup
 from riskmart.schemas import CLICKSTREAM_FEATURES
 from riskmart.sources.scratch import Staging
 
@@ -170,8 +171,24 @@ def gold_features_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(features.feature_table(stored, exact=True))
 
 
-@query()
+_CLAMPED_NAMES = [c for c in features.CLAMP_COLUMNS if c not in CLICKSTREAM_FEATURES]
+
+
+@query(duck(" union all ".join(
+    f"select snapshot_date, '{c}' as \"column\", true as low_within, true as high_within from base_fixed "
+    f"group by snapshot_date having count({c}) > 0" for c in _CLAMPED_NAMES)))
 def gold_features_approximate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The store with the approximate bounds of the default run."""
-    stored = Staging(spark).table(base(spark, sf_dir), "base", "snapshot_date")
-    return plain(features.feature_table(stored))
+    """Whether the approximate bounds of the default run are as near to their ranks as promised."""
+    stored = Staging(spark).table(features.fix_negatives(base(spark, sf_dir)), "base", "snapshot_date")
+    bounds = features.clamp_bounds(stored, _CLAMPED_NAMES)
+    entries = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in _CLAMPED_NAMES]
+    limits = [F.struct(F.lit(c).alias("column"), F.col(c).alias("bounds")) for c in _CLAMPED_NAMES]
+    long = stored.select("snapshot_date", F.inline(F.array(*entries))).filter("v is not null")
+    near = lookup(long, bounds.select("snapshot_date", F.inline(F.array(*limits))), ["snapshot_date", "column"])
+
+    def within(i: int, share: float) -> Column:
+        n, slack = F.count("*"), 0.001 * F.count("*") + 1
+        bound = F.col("bounds")[i]
+        return (F.count_if(F.col("v") < bound) <= share * n + slack) & (F.count_if(F.col("v") <= bound) >= share * n - slack)
+
+    return near.groupBy("snapshot_date", "column").agg(within(0, 0.01).alias("low_within"), within(1, 0.99).alias("high_within"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import query
-from catalog.views import duck, plain, raw
+from catalog.views import MISSED_DAY, days_for_dates, duck, plain, raw
 from riskmart.functions.delinquency import loan_open_date as open_date
 from riskmart.operators import loans
 from riskmart.plans.backfill import silver_loans
@@ -20,9 +20,9 @@ def monthly_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_loans(raw(spark, sf_dir, "raw_loans"))
 
 
-@query(duck("select * from loans_daily"))
+@query(duck(f"select {MISSED_DAY} from loans_daily"))
 def loan_dpd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(daily_loans(spark, sf_dir))
+    return plain(days_for_dates(daily_loans(spark, sf_dir)))
 
 
 @query(duck("select * from labels_mob6"))

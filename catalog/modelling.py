@@ -19,8 +19,10 @@ from riskmart.sources.snapshots import write_result
 
 
 def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = training.training_set(gold(spark, sf_dir), label_store(monthly_loans(spark, sf_dir)))
-    return Staging(spark).table(joined, "training")
+    staging = Staging(spark)
+    store = staging.table(gold(spark, sf_dir), "gold")
+    labels = staging.table(label_store(monthly_loans(spark, sf_dir)), "labels")
+    return staging.table(training.training_set(store, labels), "training")
 
 
 def train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

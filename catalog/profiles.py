@@ -62,10 +62,13 @@ def clickstream_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(duck(" union all ".join(
-    f"select '{c}' as \"column\", {c} as category, count(*) as row_count from base where {c} is not null group by {c}"
+    f"select '{c}' as \"column\", {c} as category, count(*) as row_count "
+    f"from {'attributes' if c == 'Occupation' else 'financials'} where {c} is not null group by {c}"
     for c in profile.COUNTED_CATEGORIES)))
 def value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.value_counts(base(spark, sf_dir), profile.COUNTED_CATEGORIES)
+    others = [c for c in profile.COUNTED_CATEGORIES if c != "Occupation"]
+    jobs = silver.silver_attributes(raw(spark, sf_dir, "raw_attributes"))
+    return profile.value_counts(financials(spark, sf_dir), others).unionByName(profile.value_counts(jobs, ["Occupation"]))
 
 
 @query(duck(" union all ".join(

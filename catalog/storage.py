@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import query
-from catalog.views import END, START, VALID_SNAPSHOTS, duck, plain, raw
+from catalog.views import MISSED_DAY, VALID_SNAPSHOTS, days_for_dates, duck, plain, raw, span
 from riskmart.operators.profile import snapshot_counts as count_snapshots
 from riskmart.plans import backfill
 from riskmart.schemas import CLICKSTREAM_FEATURES, RAW_SCHEMAS
@@ -41,18 +41,18 @@ def snapshot_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             "from raw_loans"))
 def roundtrip_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text written by snapshot and read back; an empty cell comes back as null."""
-    mart = backfill.Datamart(spark, Staging(spark).root, START, END)
+    mart = backfill.Datamart(spark, Staging(spark).root, *span(spark, sf_dir))
     loans = raw(spark, sf_dir, "raw_loans")
     backfill.land_bronze(mart, {"loan_daily": loans.withColumn("paid_amt", F.nullif("paid_amt", F.lit("")))})
     return mart.bronze("loan_daily").select(RAW_SCHEMAS["loan_daily"].names)
 
 
-@query(duck("select * from loans where snapshot_date between date '1997-01-01' and date '1998-06-01'"))
+@query(duck(f"select {MISSED_DAY} from loans where snapshot_date between date '1997-01-01' and date '1998-06-01'"))
 def roundtrip_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver loans written by snapshot; a range of snapshots read back."""
     root = Staging(spark).path("loans")
     write_snapshots(backfill.silver_loans(raw(spark, sf_dir, "raw_loans")), root, rebalance=True)
-    return plain(read_snapshots(spark, root, start="1997-01-01", end="1998-06-01"))
+    return plain(days_for_dates(read_snapshots(spark, root, start="1997-01-01", end="1998-06-01")))
 
 
 @query(duck("""
@@ -72,7 +72,7 @@ def overwrite_one_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(duck("select * from labels_mob6"))
 def backfill_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw loans to the stored label store through every layer."""
-    mart = backfill.Datamart(spark, Staging(spark).root, START, END)
+    mart = backfill.Datamart(spark, Staging(spark).root, *span(spark, sf_dir))
     backfill.land_bronze(mart, {"loan_daily": raw(spark, sf_dir, "raw_loans")})
     backfill.build_silver(mart, ["loan_daily"])
     backfill.build_labels(mart)
@@ -80,7 +80,7 @@ def backfill_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_features(spark: SparkSession, sf_dir: str) -> backfill.Datamart:
-    mart = backfill.Datamart(spark, Staging(spark).root, START, END)
+    mart = backfill.Datamart(spark, Staging(spark).root, *span(spark, sf_dir))
     tables = ["financials", "attributes", "clickstream"]
     backfill.land_bronze(mart, {t: raw(spark, sf_dir, f"raw_{t}") for t in tables})
     backfill.build_silver(mart, tables)
@@ -100,3 +100,25 @@ def backfill_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     joined = mart.gold(backfill.BASELINE).join(full, ["Customer_ID", "snapshot_date"], "left")
     return plain(joined.fillna(False, ["in_full"]))
+
+
+_SOURCES = {"loan_daily": "raw_loans", "attributes": "raw_attributes", "financials": "raw_financials", "clickstream": "raw_clickstream"}
+_LAYERS = (
+    [(f"bronze/{t}", f"(select cast(snapshot_date as date) as snapshot_date from {view})") for t, view in _SOURCES.items()]
+    + [(f"silver/{t}", {"loan_daily": "loans"}.get(t, t)) for t in _SOURCES]
+    + [("gold/label_store", "labels_mob6"), ("gold/features_baseline", "base"), ("gold/features_full", "full_base")]
+)
+
+
+@query(duck(
+    " union all ".join(f"select '{name}' as \"table\", snapshot_date, count(*) as row_count from {view} group by snapshot_date"
+                       for name, view in _LAYERS)
+    + "".join(f" union all select 'unreadable/{t}', null, count(case when try_cast(snapshot_date as date) is null then 1 end) "
+              f"from {view}" for t, view in _SOURCES.items())))
+def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every stored table by snapshot, and raw rows whose date cannot be read."""
+    mart = backfill.Datamart(spark, Staging(spark).root, *span(spark, sf_dir))
+    sources = {t: raw(spark, sf_dir, view) for t, view in _SOURCES.items()}
+    backfill.backfill(mart, sources, clickstream_snapshots=VALID_SNAPSHOTS)
+    lost = backfill.unreadable_dates(sources).withColumn("table", F.concat(F.lit("unreadable/"), "table"))
+    return backfill.layer_counts(mart).unionByName(lost.withColumn("snapshot_date", F.lit(None).cast("date")))

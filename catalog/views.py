@@ -18,13 +18,12 @@ from riskmart.schemas import CLICKSTREAM_FEATURES, FINANCIAL_TYPES
 
 TABLES = ["customer", "orders", "lineitem", "events", "part"]
 
-# The range of all order and shipping months, and the months taken to have clickstream data.
-START, END = "1995-01-01", "2001-12-01"
+# The months taken to have clickstream data.
 VALID_SNAPSHOTS = [f"{year}-{month:02d}-01" for year in (1997, 1998) for month in range(1, 13)][:18]
 TRAIN_END = "1999-06-01"
 
-_JOBS = "Lawyer,Architect,Engineer,Accountant,Scientist,_______,Teacher,Mechanic,Media_Manager,Developer,Doctor," \
-        "Manager,Entrepreneur,Journalist,Musician,Writer,Nurse, Astronaut "
+# Every known occupation as people write it, a gap, and one that is not known.
+_JOBS = ",".join([*[job.title() for job in OCCUPATIONS], "_______", " Astronaut "])
 
 
 def _money(value: str) -> str:
@@ -44,9 +43,11 @@ RAW = {
                '10' as tenure,
                case when l_linenumber = 3 then '3.0' else cast(l_linenumber as string) end as installment_num,
                {_money("l_extendedprice")} as loan_amt,
-               case when l_discount = 0 then '0' else {_money("l_quantity")} end as due_amt,
+               case when l_discount = 0 then '0' when l_discount = 0.01 then '0.0' || cast(1 + l_linenumber % 4 as string)
+                    else {_money("l_quantity")} end as due_amt,
                case when l_linestatus = 'O' then '' else {_money("l_quantity")} end as paid_amt,
-               {_money("case when l_returnflag = 'R' then l_quantity * l_tax * 50 else 0 end")} as overdue_amt,
+               {_money("case when l_returnflag = 'R' then l_quantity * l_tax * case when l_discount = 0.01 then 250 else 50 end "
+                       "else 0 end")} as overdue_amt,
                {_money("l_extendedprice")} as balance,
                cast(shipped as string) as snapshot_date
         from lines""",
@@ -99,11 +100,11 @@ RAW = {
                case when c_acctbal > 9000 then '-500' else cast(c_nationkey + 18 as string) end
                    || case when c_mktsegment = 'MACHINERY' then '_' else '' end as Age,
                'id ' || cast(c_custkey as string) as SSN,
-               split_part('{_JOBS}', ',', c_nationkey % 18 + 1) as Occupation,
+               split_part('{_JOBS}', ',', c_nationkey % {len(OCCUPATIONS) + 2} + 1) as Occupation,
                cast(opened as string) as snapshot_date
-        from customer join customer_months on c_custkey = o_custkey where c_acctbal >= 0""",
+        from customer join customer_months on c_custkey = o_custkey""",
     "event_hours": "select user_id, "
-    + ", ".join(f"max(case when hour(ts) = {i - 1} then value end) as h{i}" for i in range(1, 21))
+    + ", ".join(f"max(case when hour(ts) % 20 = {i - 1} then value end) as h{i}" for i in range(1, 21))
     + " from events group by user_id",
     "raw_clickstream": "select 'CUS_0X' || cast(user_id as string) as Customer_ID, "
     + ", ".join(f"{_money(f'h{i}')} as fe_{i}" for i in range(1, 20))
@@ -246,6 +247,10 @@ _LOAN_COLUMNS = """loan_id, Customer_ID, loan_start_date, tenure, installment_nu
         cast(case when overdue_amt > 0 then date_diff('day', first_missed_date, snapshot_date) else 0 end as integer)
             as dpd"""
 
+# The first missed date may lie before the year 1, so queries give it as days since 1970.
+MISSED_DAY = """* exclude (first_missed_date),
+    cast(date_diff('day', date '1970-01-01', first_missed_date) as integer) as first_missed_day"""
+
 DUCK = {
     **RAW,
     "loans_daily_dated": _loans("raw_loans_daily"),
@@ -319,6 +324,19 @@ def raw(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
     return spark.sql(statement, **tables)
 
 
+def span(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """First and last month in which anything was ordered or shipped."""
+    lines = raw(spark, sf_dir, "lines")
+    first = F.least(F.min("opened"), F.min("shipped"))
+    last = F.greatest(F.max("opened"), F.max("shipped"))
+    months = lines.agg(*[F.trunc(day, "month").cast("string").alias(name) for day, name in ((first, "first"), (last, "last"))])
+    return tuple(months.first())
+
+
+def days_for_dates(df: DataFrame) -> DataFrame:
+    return df.withColumn("first_missed_day", F.unix_date("first_missed_date")).drop("first_missed_date")
+
+
 def plain(df: DataFrame) -> DataFrame:
     """32-bit floats widened, which changes no value, so both engines print them alike."""
     return df.select([F.col(c).cast("double").alias(c) if kind == "float" else F.col(c) for c, kind in df.dtypes])

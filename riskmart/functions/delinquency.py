@@ -5,23 +5,36 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Further back than any calendar date; a larger count (a near-zero due amount) has no date.
-MAX_MONTHS_BACK = 12 * 1900
+LARGEST_INT = 2**31 - 1
+# Dates are 32-bit day numbers, and so are the days between two of them: this many months span no more days than that.
+MONTHS_OF_DATES = 12 * 5_800_000
 
 
 def installments_missed(overdue: Column, due: Column) -> Column:
-    """Whole instalments overdue; 0 where the ratio is undefined (due is 0 or null)."""
-    return F.coalesce(F.ceil(F.try_divide(overdue, due)).try_cast("int"), F.lit(0))
+    """Whole instalments overdue; 0 where the ratio is undefined (due is 0 or null).
+
+    A count beyond the integers is the largest integer.
+    """
+    whole = F.ceil(F.try_divide(overdue, due).cast("double"))
+    held = F.least(F.greatest(whole, F.lit(-LARGEST_INT)), F.lit(LARGEST_INT))
+    return F.when(whole.isNotNull(), held).otherwise(0).cast("int")
 
 
 def first_missed_date(snapshot: Column, missed: Column) -> Column:
-    """Date of the first missed instalment; a month end clamps to the shorter month."""
-    return F.when((missed > 0) & (missed <= MAX_MONTHS_BACK), F.add_months(snapshot, -missed))
+    """Date of the first missed instalment; a month end clamps to the shorter month.
+
+    Null where nothing is missed, or further back than dates go.
+    """
+    return F.when((missed > 0) & (missed <= MONTHS_OF_DATES), F.add_months(snapshot, -missed))
+
 
+def days_past_due(overdue: Column, snapshot: Column, first_missed: Column, missed: Column) -> Column:
+    """Days since the first missed date; the largest integer where that lies further back than dates go.
 
-def days_past_due(overdue: Column, snapshot: Column, first_missed: Column) -> Column:
-    """Days since the first missed date; null where an amount is overdue without such a date."""
-    return F.when(overdue > 0, F.datediff(snapshot, first_missed)).otherwise(0)
+    Null where an amount is overdue of which no instalment is due.
+    """
+    days = F.when(missed > MONTHS_OF_DATES, LARGEST_INT).otherwise(F.datediff(snapshot, first_missed))
+    return F.when(overdue > 0, days).otherwise(0)
 
 
 def default_flag(dpd: Column, threshold: int) -> Column:

@@ -1,30 +1,32 @@
-"""Equi-joins that hold when one key carries a large share of the rows."""
+"""Equi-joins that hold when keys carry a large share of the rows, on either side or both."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.sources.scratch import settled
 
 HOT_ROWS = 1_000_000
 SAMPLE = 0.01
-MAX_HOT_KEYS = 1_000
-SALTS = 64
 
 
-def hot_keys(df: DataFrame, keys: list[str], rows: int = HOT_ROWS, sample: float = SAMPLE) -> list[int]:
-    """Hashes of the keys that hold at least about ``rows`` rows, the largest first.
+def hot_keys(
+    left: DataFrame, right: DataFrame, keys: list[str], rows: int = HOT_ROWS, sample: float = SAMPLE
+) -> DataFrame:
+    """The keys with more than about ``rows`` rows, and how many salts each side needs: one for every ``rows`` rows.
 
-    Counted on a sample of the key columns. The answer only picks which keys are spread
-    over several tasks, never which rows a join returns. Keys past the first
-    ``MAX_HOT_KEYS`` hold less than a thousandth of the rows each.
+    Counted on a sample of the key columns. The table only decides how rows are spread, never
+    which rows a join returns. It has one row for every ``rows`` input rows at most.
     """
-    counts = df.select(F.xxhash64(*keys).alias("key"))
-    if sample < 1:
-        counts = counts.sample(sample, seed=7)
-    counts = counts.groupBy("key").count().filter(F.col("count") >= rows * sample)
-    return [row["key"] for row in counts.orderBy(F.desc("count"), "key").limit(MAX_HOT_KEYS).collect()]
+
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        drawn = df.select(keys) if sample >= 1 else df.select(keys).sample(sample, seed=7)
+        salts = F.ceil(F.count("*") / F.lit(rows * sample)).cast("int")
+        return drawn.groupBy(keys).agg(salts.alias(name)).filter(F.col(name) > 1)
+
+    both = counted(left, "_left").join(counted(right, "_right"), keys, "full")
+    return both.fillna(1, ["_left", "_right"])
 
 
 def skew_join(
@@ -37,63 +39,45 @@ def skew_join(
 ) -> DataFrame:
     """``left.join(right, keys, how)`` for ``how`` inner or left, with the hot keys salted.
 
-    The side on which a key is hot is dealt over ``SALTS`` tasks and the other side's rows
-    of that key are repeated for each of them. Without a hot key it is the plain join.
+    Rows of a hot key are dealt over as many salts as their side needs and repeated for each
+    salt of the other side, so both sides split where both are hot. The key columns of both
+    inputs are sampled first, so pass stored tables. Without a hot key it is the plain join.
     """
     kinds = [(dict(left.dtypes)[key], dict(right.dtypes)[key]) for key in keys]
     if any(a != b for a, b in kinds):
         raise ValueError(f"join keys {keys} differ in type: {kinds}")
-    hot_left = hot_keys(left, keys, rows, sample)
-    hot_right = [key for key in hot_keys(right, keys, rows, sample) if key not in set(hot_left)]
-    if not hot_left and not hot_right:
+    hot = settled(hot_keys(left, right, keys, rows, sample))
+    if hot.isEmpty():
         return left.join(right, keys, how)
-    if how == "inner" or not hot_right:
-        return _salted(left, right, keys, how, hot_left, hot_right)
-
-    # A left row of a key that is hot on the right either matches, which an inner join
-    # covers, or has no partner at all.
-    fans_out = _hash(keys).isin(hot_right)
-    main = _salted(left.filter(~fans_out), right.filter(~fans_out), keys, "left", hot_left, [])
-    fanned = _salted(left.filter(fans_out), right.filter(fans_out), keys, "inner", [], hot_right)
-    alone = left.filter(fans_out).join(right.filter(fans_out).select(keys).distinct(), keys, "left_anti")
-    return main.unionByName(fanned).unionByName(alone, allowMissingColumns=True)
-
-
-def _hash(keys: list[str]) -> Column:
-    return F.xxhash64(*keys)
-
-
-def _salted(left, right, keys, how, hot_left, hot_right) -> DataFrame:
-    def dealt(df: DataFrame) -> Column:
-        # The input partition is part of the salt, so equal rows spread too. Both parts
-        # come out the same when a task is run again.
-        return F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.lit(SALTS)).cast("int")
-
-    def repeated() -> Column:
-        return F.sequence(F.lit(0), F.lit(SALTS - 1))
-
-    def side(df: DataFrame, hot_here: list[int], hot_there: list[int]) -> DataFrame:
-        key = _hash(keys)
-        salts = F.array(F.lit(0))
-        if hot_there:
-            salts = F.when(key.isin(hot_there), repeated()).otherwise(salts)
-        if not hot_here:
-            return df.withColumn("_salt", F.explode(salts))
-        df = df.withColumn("_dealt", dealt(df))
-        salts = F.when(key.isin(hot_here), F.array("_dealt")).otherwise(salts)
-        return df.withColumn("_salt", F.explode(salts)).drop("_dealt")
-
-    joined = side(left, hot_left, hot_right).join(side(right, hot_right, hot_left), [*keys, "_salt"], how)
-    return joined.drop("_salt")
+    dealt_left = _salted(left, hot, keys, "_left", "_a", "_right", "_b")
+    dealt_right = _salted(right, hot, keys, "_right", "_b", "_left", "_a")
+    on = [*keys, "_a", "_b"]
+    if how == "inner":
+        joined = dealt_left.join(dealt_right.drop("_right"), on)
+    else:
+        # A left row is repeated only where its key is hot on the right. Such a key was seen
+        # there, so these rows all have partners, and the inner join loses none of them.
+        fans = F.col("_right") > 1
+        joined = dealt_left.filter(~fans).join(dealt_right.filter(~fans).drop("_right"), on, how)
+        joined = joined.unionByName(dealt_left.filter(fans).join(dealt_right.filter(fans).drop("_right"), on))
+    return joined.drop("_a", "_b", "_right")
+
+
+def _salted(
+    df: DataFrame, hot: DataFrame, keys: list[str], own: str, own_salt: str, other: str, other_salt: str
+) -> DataFrame:
+    """``df`` with a salt of its own, one row for each salt of the other side, and the right side's number of salts."""
+    # The input partition is part of the salt, so equal rows spread too. Both parts come out the
+    # same when a task is run again.
+    dealt = df.withColumn(own_salt, F.xxhash64(F.spark_partition_id(), *df.columns)).join(hot, keys, "left")
+    dealt = dealt.fillna(1, ["_left", "_right"]).withColumn(own_salt, F.pmod(own_salt, own).cast("int"))
+    return dealt.withColumn(other_salt, F.explode(F.sequence(F.lit(0), F.col(other) - 1))).drop("_left")
 
 
 def lookup(df: DataFrame, small: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join of per-group statistics to the rows of ``df``.
 
-    ``small`` is computed once and its size checked: it is broadcast, leaving ``df`` unshuffled,
-    only if it proves small, and otherwise joined with hot keys salted.
+    ``small`` is computed once and written, so the plan knows its size: Spark broadcasts it,
+    leaving ``df`` unshuffled, where it is small, and splits skewed partitions otherwise.
     """
-    small, fits = settled(small)
-    if fits:
-        return df.join(F.broadcast(small), keys, how)
-    return skew_join(df, small, keys, how)
+    return df.join(settled(small), keys, how)

@@ -30,7 +30,10 @@ def add_delinquency(loans: DataFrame) -> DataFrame:
         }
     ).fillna(0)
     df = df.withColumn("first_missed_date", first_missed_date(F.col(SNAPSHOT), F.col("installments_missed")))
-    return df.withColumn("dpd", days_past_due(F.col("overdue_amt"), F.col(SNAPSHOT), F.col("first_missed_date")))
+    days = days_past_due(
+        F.col("overdue_amt"), F.col(SNAPSHOT), F.col("first_missed_date"), F.col("installments_missed")
+    )
+    return df.withColumn("dpd", days)
 
 
 def at_month_on_book(loans: DataFrame, mob: int = MONTH_ON_BOOK) -> DataFrame:

@@ -31,7 +31,11 @@ def class_report(scored: DataFrame) -> DataFrame:
 
     A ratio without any row to count is 0.
     """
-    cells, _ = settled(confusion(scored))
+    return report_of(settled(confusion(scored)))
+
+
+def report_of(cells: DataFrame) -> DataFrame:
+    """The report from the counts of each label and prediction."""
     hits = F.sum(F.when(F.col("label") == F.col("prediction"), F.col("row_count")).otherwise(0))
     actual = cells.groupBy(F.col("label").alias("class")).agg(hits.alias("hits"), F.sum("row_count").alias("support"))
     predicted = cells.groupBy(F.col("prediction").alias("class")).agg(F.sum("row_count").alias("predicted"))
@@ -66,10 +70,6 @@ def metrics_table(
     spark: SparkSession, rows: list[tuple[str, float, float]], feature_set: str, train_end: str
 ) -> DataFrame:
     table = spark.createDataFrame(rows, "label string, accuracy double, roc_auc double")
-    return table.withColumns(
-        {
-            "feature_set": F.lit(feature_set),
-            "train_end": F.lit(train_end),
-            "run_ts": F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss"),
-        }
-    )
+    # Fixed here, so that every use of the table shows the same time.
+    now = spark.sql("select date_format(current_timestamp(), 'yyyy-MM-dd HH:mm:ss')").first()[0]
+    return table.withColumns({"feature_set": F.lit(feature_set), "train_end": F.lit(train_end), "run_ts": F.lit(now)})

@@ -50,7 +50,7 @@ def overlap_quality(full: DataFrame, marker: str = "fe_1", lowest: float = LOWES
 
 def distribution(df: DataFrame, column: str = "label") -> DataFrame:
     """Rows and percentage per value, ordered by value."""
-    counts, _ = settled(df.groupBy(column).agg(F.count("*").alias("row_count")))
+    counts = settled(df.groupBy(column).agg(F.count("*").alias("row_count")))
     total = counts.agg(F.sum("row_count")).first()[0] or 1
     return counts.withColumn("pct", F.col("row_count") / total * 100).orderBy(column)
 

@@ -1,11 +1,11 @@
 """Column quantiles per group: approximate in one aggregate, or exact at any size.
 
-The exact form counts the values first. Few enough of them fit the buffers of Spark's own
-percentile aggregates. Beyond that no group is ever held in one task: a pass splits the
-value range around each wanted rank into cells and counts the rows of every cell with
-partial aggregates; the cell that contains the rank, with the smallest and largest value
-seen in it, is the range of the next pass. Counts are exact, so the answer is too, and a
-range shrinks at least by the number of cells per pass: two to four passes are usual.
+The exact form never holds the values of a group in one task. A pass splits the range around
+each wanted rank into cells and counts the rows of every cell with partial aggregates; the cell
+that contains the rank, with the smallest and largest value seen in it, is the range of the
+next pass. The ends of a range lie in different cells, so every pass narrows it. A range that
+spans orders of magnitude gets cells of equal ratio instead of equal width, so a few passes reach any
+value. Infinities are counted apart and never bound a range.
 """
 
 from __future__ import annotations
@@ -18,7 +18,8 @@ from riskmart.operators.joins import lookup
 from riskmart.sources.scratch import settled
 
 CELLS = 4096
-BUFFERED_VALUES = 5_000_000
+MOST_PASSES = 64  # far more than any range of doubles needs
+INFINITE = float("inf")
 
 
 def approx_quantiles(
@@ -41,52 +42,61 @@ def exact_quantiles(
     probabilities: list[float],
     by: list[str] = (),
     interpolate: bool = True,
-    buffered: int = BUFFERED_VALUES,
 ) -> DataFrame:
     """One row per group with an array of exact quantiles per column.
 
     ``interpolate`` takes the point between the two nearest ranks; without it the result is
     the first value that at least the wanted share of rows does not exceed. Nulls and NaNs
     are left out; a column without values gives null, a group without any has no row. ``df``
-    is read once per pass, so it should come straight from a stored table. Up to ``buffered``
-    values in all groups and columns together go through Spark's percentile buffers.
+    is read once per pass, so it should come straight from a stored table.
     """
     by = list(by)
     entries = [F.struct(F.lit(c).alias("c"), _number(name).alias("v")) for c, name in enumerate(columns)]
     long = df.select(*by, F.inline(F.array(*entries))).filter("v is not null")
-    sizes, _ = settled(
-        long.groupBy(*by, "c").agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-    )
-    if (sizes.agg(F.sum("n")).first()[0] or 0) <= buffered:
-        found = long.groupBy(*by, "c").agg(_percentiles(probabilities, interpolate).alias("quantiles"))
-    else:
-        found = _counted(long, sizes, probabilities, [*by, "c"], interpolate)
+    found = _counted(long, list(probabilities), [*by, "c"], interpolate)
     # One row per group and column so far.
     return found.groupBy(*by).agg(
         *[F.max(F.when(F.col("c") == c, F.col("quantiles"))).alias(name) for c, name in enumerate(columns)]
     )
 
 
-def _counted(
-    long: DataFrame, sizes: DataFrame, probabilities: list[float], keys: list[str], interpolate: bool
-) -> DataFrame:
+def _counted(long: DataFrame, probabilities: list[float], keys: list[str], interpolate: bool) -> DataFrame:
+    value = F.col("v")
+    finite = F.when(F.abs(value) < INFINITE, value)
+    sizes = settled(
+        long.groupBy(*keys).agg(
+            F.count("*").alias("n"),
+            F.count_if(value == -INFINITE).alias("lowest"),
+            F.count_if(value == INFINITE).alias("highest"),
+            F.min(finite).alias("least"),
+            F.max(finite).alias("most"),
+        )
+    )
     # One row per rank to find: it lies in the range lo..hi, and ``below`` rows lie under that.
     wanted = [
-        F.struct(
-            F.lit(p).alias("p"),
-            F.lit(side).alias("side"),
-            rank.cast("long").alias("rank"),
-            fraction.alias("fraction"),
-            F.lit(0).cast("long").alias("below"),
-        )
+        F.struct(F.lit(p).alias("p"), F.lit(side).alias("side"), rank.cast("long").alias("rank"), fraction.alias("fraction"))
         for p, share in enumerate(probabilities)
         for side, rank, fraction in _ranks(F.col("n"), share, interpolate)
     ]
-    targets, _ = settled(sizes.select(*keys, "lo", "hi", F.inline(F.array(*wanted))))
-    while not targets.filter("lo < hi").isEmpty():
+
+    def end(name: str) -> Column:
+        low, high = F.col("rank") <= F.col("lowest"), F.col("rank") > F.col("n") - F.col("highest")
+        return F.when(low, -INFINITE).when(high, INFINITE).otherwise(F.col(name))
+
+    each = sizes.select(*keys, "n", "lowest", "highest", "least", "most", F.inline(F.array(*wanted)))
+    targets = settled(
+        each.select(
+            *keys, end("least").alias("lo"), end("most").alias("hi"),
+            "p", "side", "rank", "fraction", F.col("lowest").alias("below"),
+        )
+    )
+    for _ in range(MOST_PASSES):
+        if targets.filter("lo < hi").isEmpty():
+            quantiles = F.array(*[_quantile(p) for p in range(len(probabilities))])
+            return targets.groupBy(*keys).agg(quantiles.alias("quantiles"))
         narrowed = _narrowed(long, targets.filter("lo < hi"), keys)
-        targets, _ = settled(targets.filter("lo >= hi").unionByName(narrowed))
-    return targets.groupBy(*keys).agg(F.array(*[_quantile(p) for p in range(len(probabilities))]).alias("quantiles"))
+        targets = settled(targets.filter("lo >= hi").unionByName(narrowed))
+    raise RuntimeError("ranges of quantiles did not narrow")
 
 
 def _number(name: str) -> Column:
@@ -94,12 +104,6 @@ def _number(name: str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def _percentiles(probabilities: list[float], interpolate: bool) -> Column:
-    if interpolate:
-        return F.percentile("v", [float(p) for p in probabilities])
-    return F.array(*[F.expr(f"percentile_disc({p}) within group (order by v)") for p in probabilities])
-
-
 def _ranks(n: Column, share: float, interpolate: bool) -> list[tuple[int, Column, Column]]:
     """(side, rank counted from 1, weight of the upper side) of the values a quantile is made of."""
     if not interpolate:
@@ -114,7 +118,24 @@ def _quantile(p: int) -> Column:
         return F.max(F.when((F.col("p") == p) & (F.col("side") == side), F.col(name)))
 
     lower, upper, fraction = of(0, "lo"), of(1, "lo"), of(0, "fraction")
-    return F.when(lower < upper, lower * (1 - fraction) + upper * fraction).otherwise(lower)
+    between = lower * (1 - fraction) + upper * fraction
+    # Towards an infinite neighbour any part of the way is all of it.
+    between = F.when(fraction == 0, lower).when(lower == -INFINITE, lower).when(upper == INFINITE, upper).otherwise(between)
+    return F.when(lower < upper, between).otherwise(lower)
+
+
+def _position(value: Column, lo: Column, hi: Column) -> Column:
+    """Where a value lies in its range, from 0 to 1; never falling as the value rises."""
+    # Halves where the width overflows.
+    linear = F.when(hi - lo < INFINITE, (value - lo) / (hi - lo)).otherwise((value / 2 - lo / 2) / (hi / 2 - lo / 2))
+
+    def magnitude(x: Column) -> Column:
+        # The smallest double has a logarithm of -744.4.
+        return F.when(x == 0, 0.0).otherwise(F.signum(x) * (F.ln(F.abs(x)) + 746))
+
+    wide = (F.signum(lo) * F.signum(hi) <= 0) | (F.greatest(F.abs(lo), F.abs(hi)) / 4 > F.least(F.abs(lo), F.abs(hi)))
+    ratio = F.try_divide(magnitude(value) - magnitude(lo), magnitude(hi) - magnitude(lo))
+    return F.when(wide & (magnitude(hi) > magnitude(lo)), ratio).otherwise(linear)
 
 
 def _narrowed(long: DataFrame, targets: DataFrame, keys: list[str]) -> DataFrame:
@@ -124,12 +145,11 @@ def _narrowed(long: DataFrame, targets: DataFrame, keys: list[str]) -> DataFrame
     """
     targets = targets.withColumn("span", F.dense_rank().over(W.partitionBy(*keys).orderBy("lo")))
     ranges = targets.select(*keys, "span", "lo", "hi").distinct()
-    # Halves, so that the width of the widest range does not overflow.
-    position = F.floor((F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2) * CELLS)
+    cell = F.least(F.floor(_position(F.col("v"), F.col("lo"), F.col("hi")) * CELLS), F.lit(CELLS - 1))
     cells = (
         lookup(long, ranges, keys, "inner")
         .filter(F.col("v").between(F.col("lo"), F.col("hi")))
-        .groupBy(*keys, "span", F.least(position, F.lit(CELLS - 1)).alias("cell"))
+        .groupBy(*keys, "span", cell.alias("cell"))
         .agg(F.count("*").alias("rows"), F.min("v").alias("cell_lo"), F.max("v").alias("cell_hi"))
     )
     # At most CELLS rows per range.

@@ -32,7 +32,7 @@ from riskmart.operators.silver import (
 )
 from riskmart.schemas import RAW_SCHEMAS, SNAPSHOT
 from riskmart.sources.scratch import Staging
-from riskmart.sources.snapshots import read_raw, read_snapshots, snapshot_range, write_snapshots
+from riskmart.sources.snapshots import read_raw, read_snapshots, snapshot_range, stored_snapshots, write_snapshots
 
 
 def silver_loans(raw: DataFrame) -> DataFrame:
@@ -141,7 +141,14 @@ def backfill(
 
 
 def layer_counts(mart: Datamart) -> DataFrame:
-    """Rows per stored table and snapshot of the silver and gold layers."""
-    tables = [(f"silver/{t}", mart.silver(t)) for t in SILVER] + [(f"gold/{t}", mart.gold(t)) for t in (LABELS, BASELINE)]
+    """Rows per stored table and snapshot of all three layers."""
+    tables = [(f"bronze/{t}", mart.bronze(t)) for t in SILVER] + [(f"silver/{t}", mart.silver(t)) for t in SILVER]
+    tables += [(f"gold/{t}", mart.gold(t)) for t in (LABELS, BASELINE, FULL) if stored_snapshots(mart.spark, mart.path("gold", t))]
     counts = [snapshot_counts(df).withColumn("table", F.lit(name)) for name, df in tables]
     return reduce(DataFrame.unionByName, counts)
+
+
+def unreadable_dates(raw: dict[str, DataFrame]) -> DataFrame:
+    """Rows of each raw table that no layer holds, as their date is not one."""
+    lost = F.count_if(F.col(SNAPSHOT).try_cast("date").isNull())
+    return reduce(DataFrame.unionByName, [df.agg(lost.alias("row_count")).withColumn("table", F.lit(t)) for t, df in raw.items()])

@@ -62,9 +62,9 @@ def train_evaluate(
             model,
             metrics_table(spark, rows, feature_set, train_end),
             model.coefficients(spark),
-            settled(distribution(merged))[0],
-            settled(tables["confusion"][0].unionByName(tables["confusion"][1]))[0],
-            settled(tables["report"][0].unionByName(tables["report"][1]))[0],
+            settled(distribution(merged)),
+            settled(tables["confusion"][0].unionByName(tables["confusion"][1])),
+            settled(tables["report"][0].unionByName(tables["report"][1])),
         )
 
 

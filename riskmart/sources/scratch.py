@@ -12,15 +12,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 FOLDER_SETTING = "spark.checkpoint.dir"
-SMALL_CELLS = 500_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by the session; a fresh local one only where a local session names none."""
+    """Folder named by the session; a session that is one process and names none gets a fresh one."""
     context = spark.sparkContext
     folder = spark.conf.get(FOLDER_SETTING, None) or context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError(f"{FOLDER_SETTING} must name a folder shared by the cluster")
         folder = tempfile.mkdtemp(prefix="riskmart-")
     if context.getCheckpointDir() is None:
@@ -34,25 +33,27 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def settled(df: DataFrame) -> tuple[DataFrame, bool]:
-    """A table of statistics computed once, and whether it is small enough to broadcast.
+def settled(df: DataFrame) -> DataFrame:
+    """A table of statistics computed once and written.
 
-    Up to ``SMALL_CELLS`` values it becomes part of the plan of whatever uses it; no more than
-    that is ever fetched. A larger one is checkpointed.
+    What joins it knows its size on disk, and broadcasts it only if that is small.
     """
-    rows = SMALL_CELLS // len(df.columns)
-    head = df.limit(rows + 1).toArrow()
-    if head.num_rows <= rows:
-        return df.sparkSession.createDataFrame(head, df.schema), True
-    return checkpointed(df), False
+    return Staging(df.sparkSession).table(df, "table")
 
 
 class Staging:
-    """Written intermediate tables under one new folder, removed when used as a context manager."""
+    """Written intermediate tables under one new folder.
+
+    The folder goes at the end of a ``with`` block, or else with the application, as results that are not
+    computed yet may still read it.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/riskmart-{uuid.uuid4().hex}"
+        system, location = hadoop_path(spark, self.root)
+        system.mkdirs(location)
+        system.deleteOnExit(location)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +19,45 @@ CSV_OPTIONS = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailing
 
 def read_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Raw CSV with a header, every column as text, columns matched by header name."""
-    df = spark.read.options(**CSV_OPTIONS).csv(path)
-    absent = [name for name in schema.names if name not in df.columns]
-    if absent:
-        raise ValueError(f"{path} lacks the columns {absent}")
-    return df.select(schema.names)
+    parts = []
+    for names, files in _files_by_header(spark, path).items():
+        absent = [name for name in schema.names if name not in names]
+        if absent:
+            raise ValueError(f"{files[0]} lacks the columns {absent}")
+        text = T.StructType([T.StructField(name, T.StringType()) for name in names])
+        # Headers are checked against the columns, so a file that changed meanwhile is an error.
+        parts.append(spark.read.options(**CSV_OPTIONS, enforceSchema=False).schema(text).csv(files).select(schema.names))
+    if not parts:
+        raise ValueError(f"{path} holds no file with a header")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Files under ``path`` by the names in their first line; files without one are left out.
+
+    Reads one line of each file.
+    """
+    system, location = hadoop_path(spark, path)
+    found: dict[tuple[str, ...], list[str]] = {}
+    files = system.globStatus(location) or []
+    if len(files) == 1 and files[0].isDirectory():
+        files = system.listStatus(files[0].getPath())
+    for status in files:
+        name = status.getPath().getName()
+        if status.isDirectory() or name.startswith(("_", ".")):
+            continue
+        codec = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration())
+        stream = system.open(status.getPath())
+        packed = codec.getCodec(status.getPath())
+        reader = spark._jvm.java.io.BufferedReader(
+            spark._jvm.java.io.InputStreamReader(packed.createInputStream(stream) if packed else stream, "UTF-8")
+        )
+        line = reader.readLine()
+        reader.close()
+        if line is not None:
+            names = tuple(next(csv.reader([line.removeprefix("﻿")])))
+            found.setdefault(names, []).append(status.getPath().toString())
+    return found
 
 
 def snapshot_range(df: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:

@@ -65,7 +65,8 @@ def test_encodings(spark):
 
 
 @pytest.mark.parametrize(
-    "overdue, due, missed", [(250.0, 100.0, 3), (50.0, 0.0, 0), (None, 100.0, 0), (0.0, 100.0, 0), (1.0, 100.0, 1)]
+    "overdue, due, missed", [(250.0, 100.0, 3), (50.0, 0.0, 0), (None, 100.0, 0), (0.0, 100.0, 0), (1.0, 100.0, 1),
+     (1000.0, 0.04, 25001), (3e38, 1e-38, 2**31 - 1), (-5.0, 2.0, -2)]
 )
 def test_missed(one, overdue, due, missed):
     expression = delinquency.installments_missed(F.col("o"), F.col("d"))
@@ -77,15 +78,28 @@ def test_first_missed_clamps_to_month_end(one):
     schema = "s date, m int"
     assert one(expression, schema, date(2024, 3, 31), 1) == date(2024, 2, 29)
     assert one(expression, schema, date(2024, 3, 31), 0) is None
-    assert one(expression, schema, date(2024, 3, 31), 2_000_000_000) is None
+    days = F.unix_date(expression)
+    # 25,000 months are as long 2,400 years later, as the calendar repeats after 400.
+    back = date(4424, 3, 1).toordinal() - date(2340, 11, 1).toordinal()
+    assert one(days, schema, date(2024, 3, 1), 25_000) == (date(2024, 3, 1) - date(1970, 1, 1)).days - back
+    assert one(expression, schema, date(2024, 3, 31), 2**31 - 1) is None
 
 
 def test_days_past_due(one):
-    expression = delinquency.days_past_due(F.col("o"), F.col("s"), F.col("f"))
-    schema = "o float, s date, f date"
-    assert one(expression, schema, 10.0, date(2024, 8, 1), date(2024, 7, 1)) == 31
-    assert one(expression, schema, 0.0, date(2024, 8, 1), None) == 0
-    assert one(expression, schema, 50.0, date(2024, 8, 1), None) is None
+    expression = delinquency.days_past_due(F.col("o"), F.col("s"), F.col("f"), F.col("m"))
+    schema = "o float, s date, f date, m int"
+    assert one(expression, schema, 10.0, date(2024, 8, 1), date(2024, 7, 1), 1) == 31
+    assert one(expression, schema, 0.0, date(2024, 8, 1), None, 0) == 0
+    assert one(expression, schema, 50.0, date(2024, 8, 1), None, 0) is None
+    assert one(expression, schema, 50.0, date(2024, 8, 1), None, 2**31 - 1) == 2**31 - 1
+
+
+@pytest.mark.parametrize("missed", [25_000, 100_000, 12 * 5_800_000, 12 * 5_800_000 + 1])
+def test_however_long_overdue_a_loan_is_past_due(one, missed):
+    first = delinquency.first_missed_date(F.col("s"), F.col("m"))
+    days = delinquency.days_past_due(F.col("o"), F.col("s"), first, F.col("m"))
+    assert one(delinquency.default_flag(days, 30), "s date, m int, o float", date(2024, 8, 1), missed, 1.0) == 1
+    assert one(days, "s date, m int, o float", date(2024, 8, 1), missed, 1.0) > 30 * missed or missed > 12 * 5_800_000
 
 
 def test_unknown_dpd_is_no_default(one):

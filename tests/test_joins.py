@@ -23,25 +23,33 @@ def test_salted_join_equals_plain_join(spark, how, hot_left, hot_right):
     assert rows(have) == rows(left.join(right, ["k", "d"], how))
 
 
-def test_hot_keys_are_spread(spark):
-    left = side(spark, "l", "3", 2000).repartition(8)
-    right = side(spark, "r", "4", 1)
-    assert len(joins.hot_keys(left, ["k", "d"], rows=1000, sample=1.0)) == 1
-    salted = joins._salted(left, right, ["k", "d"], "inner", joins.hot_keys(left, ["k", "d"], 1000, 1.0), [])
-    assert rows(salted) == rows(left.join(right, ["k", "d"]))
-    assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
+def test_salts_follow_the_size_of_a_key(spark):
+    left, right = side(spark, "l", "3", 2000).withColumn("id", F.monotonically_increasing_id()), side(spark, "r", "3", 450)
+    hot = joins.hot_keys(left, right, ["k", "d"], rows=100, sample=1.0).collect()
+    assert [(r["k"], r["_left"], r["_right"]) for r in hot] == [("3", 21, 5)]
+    salted = joins._salted(left, spark.createDataFrame(hot), ["k", "d"], "_left", "_a", "_right", "_b")
+    dealt = [r["count"] for r in salted.filter("k = '3'").groupBy("_a", "_b").count().collect()]
+    assert len(dealt) > 60 and max(dealt) < 3 * 2001 / 21
 
 
-def test_equal_copies_do_not_share_one_salt(spark):
-    copies = spark.range(0, 800, 1, 16).select(F.lit("3").alias("k"))
-    dealt = copies.select(F.pmod(F.xxhash64(F.spark_partition_id(), "k"), F.lit(joins.SALTS)).alias("s"))
-    assert dealt.distinct().count() > 8
+def test_a_key_hot_on_both_sides(spark):
+    left, right = side(spark, "l", "3", 500), side(spark, "r", "3", 300)
+    for how in ("inner", "left"):
+        have = joins.skew_join(left, right, ["k", "d"], how, rows=50, sample=1.0)
+        assert rows(have) == rows(left.join(right, ["k", "d"], how))
+
+
+def test_thousands_of_hot_keys(spark):
+    left = spark.range(6000).select((F.col("id") % 1500).cast("string").alias("k"), F.col("id").alias("x"))
+    right = spark.range(1600).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("y"))
+    assert joins.hot_keys(left, right, ["k"], rows=2, sample=1.0).count() == 1500
+    assert rows(joins.skew_join(left, right, ["k"], "inner", rows=2, sample=1.0)) == rows(left.join(right, "k"))
 
 
 def test_without_hot_keys_it_is_the_plain_join(spark):
     left, right = side(spark, "l", "3", 1), side(spark, "r", "3", 1)
     plan = joins.skew_join(left, right, ["k", "d"], "left")._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" not in plan
+    assert "_a" not in plan
 
 
 def test_keys_of_different_type_are_refused(spark):
@@ -49,12 +57,17 @@ def test_keys_of_different_type_are_refused(spark):
         joins.skew_join(spark.range(1), spark.range(1).select(F.col("id").cast("int").alias("id")), ["id"])
 
 
-def test_lookup_broadcasts_only_what_is_small(spark, monkeypatch):
+def test_lookup_broadcasts_only_what_is_small(spark):
     df = spark.range(100).withColumn("g", F.col("id") % 7)
     stats = df.groupBy("g").agg(F.max("id").alias("m"))
     expected = rows(df.join(stats, "g", "left"))
     small = joins.lookup(df, stats, ["g"])
-    assert "Broadcast" in small._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
     assert rows(small) == expected
-    monkeypatch.setattr("riskmart.sources.scratch.SMALL_CELLS", 3)
-    assert rows(joins.lookup(df, stats, ["g"])) == expected
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 10)
+    try:
+        large = joins.lookup(df, stats, ["g"])
+        assert "BroadcastHashJoin" not in large._jdf.queryExecution().executedPlan().toString()
+        assert rows(large) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -29,18 +29,16 @@ def sample(spark):
     return frame, df
 
 
-@pytest.mark.parametrize("buffered", [0, 10**9])
-def test_interpolated_equals_numpy(sample, buffered):
+def test_interpolated_equals_numpy(sample):
     frame, df = sample
-    have = exact_quantiles(df, COLUMNS, SHARES, buffered=buffered).first()
+    have = exact_quantiles(df, COLUMNS, SHARES).first()
     for c in COLUMNS:
         np.testing.assert_allclose(have[c], frame[c].dropna().quantile(SHARES), rtol=1e-12, err_msg=c)
 
 
-@pytest.mark.parametrize("buffered", [0, 10**9])
-def test_discrete_by_group_is_the_value_at_the_rank(sample, buffered):
+def test_discrete_by_group_is_the_value_at_the_rank(sample):
     frame, df = sample
-    have = {r["g"]: r for r in exact_quantiles(df, COLUMNS, SHARES, ["g"], interpolate=False, buffered=buffered).collect()}
+    have = {r["g"]: r for r in exact_quantiles(df, COLUMNS, SHARES, ["g"], interpolate=False).collect()}
     assert sorted(have) == sorted(frame.g.unique())
     for g, rows in frame.groupby("g"):
         for c in COLUMNS:
@@ -53,14 +51,12 @@ def test_discrete_by_group_is_the_value_at_the_rank(sample, buffered):
 
 def test_no_values_at_all(spark):
     df = spark.createDataFrame([(None,), (None,)], "x double")
-    for buffered in (0, 10**9):
-        assert exact_quantiles(df, ["x"], SHARES, buffered=buffered).first()["x"] is None
+    assert exact_quantiles(df, ["x"], SHARES).first()["x"] is None
 
 
 def test_median_of_an_even_count(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (4.0,), (None,)], "x double")
-    for buffered in (0, 10**9):
-        assert exact_quantiles(df, ["x"], [0.5], buffered=buffered).first()["x"] == [2.5]
+    assert exact_quantiles(df, ["x"], [0.5]).first()["x"] == [2.5]
 
 
 def test_grouped_approximation_equals_one_call_per_group(sample):
@@ -70,9 +66,28 @@ def test_grouped_approximation_equals_one_call_per_group(sample):
         assert have[g] == df.filter(df.g == g).approxQuantile("skewed", [0.01, 0.99], 0.001)
 
 
-def test_statistics_too_large_to_broadcast(sample, monkeypatch):
+def test_infinities_denormals_and_wide_ranges(spark):
+    inf = float("inf")
+    columns = {
+        "infinite": [inf, -inf, inf] + [float(i) for i in range(97)],
+        "tiny": [5e-324 * i for i in range(100)],
+        "wide": [(-1) ** i * 10.0 ** (6 * i - 300) for i in range(100)],
+        "only": [inf] * 60 + [-inf] * 40,
+    }
+    df = spark.createDataFrame(list(zip(*columns.values())), list(columns))
+    have = exact_quantiles(df, list(columns), [0.01, 0.37, 0.5, 0.98, 1.0], interpolate=False).first()
+    for name, values in columns.items():
+        assert have[name] == [sorted(values)[max(int(np.ceil(100 * p)), 1) - 1] for p in (0.01, 0.37, 0.5, 0.98, 1.0)], name
+    middle = exact_quantiles(df, ["infinite", "only"], [0.0, 0.4, 0.995]).first()
+    assert middle["infinite"][0] == -inf and middle["infinite"][2] == inf and middle["only"] == [-inf, -inf, inf]
+
+
+def test_statistics_too_large_to_broadcast(spark, sample):
     _, df = sample
     want = {r["g"]: r["skewed"] for r in exact_quantiles(df, ["skewed"], SHARES, ["g"], interpolate=False).collect()}
-    monkeypatch.setattr("riskmart.sources.scratch.SMALL_CELLS", 20)
-    have = exact_quantiles(df, ["skewed"], SHARES, ["g"], interpolate=False, buffered=0).collect()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        have = exact_quantiles(df, ["skewed"], SHARES, ["g"], interpolate=False).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert {r["g"]: r["skewed"] for r in have} == want

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from riskmart.schemas import RAW_ATTRIBUTES
 from riskmart.sources.calendar import snapshot_calendar
-from riskmart.sources.scratch import Staging, settled
+from riskmart.sources.scratch import Staging, settled, shared_folder
 from riskmart.sources.snapshots import (
     read_raw,
     read_snapshots,
@@ -101,8 +101,22 @@ def test_staging_reads_back_and_cleans_up(spark):
     assert stored_snapshots(spark, root + "/t") == {}
 
 
-def test_settled_beyond_the_limit_is_checkpointed(spark, monkeypatch):
-    monkeypatch.setattr("riskmart.sources.scratch.SMALL_CELLS", 5)
-    for rows, fits in ((5, True), (6, False)):
-        df, small = settled(spark.range(rows).select("id"))
-        assert small is fits and df.count() == rows
+def test_settled_is_computed_once_and_its_size_is_known(spark):
+    df = settled(spark.range(6).select(F.col("id").cast("string").alias("id"), F.rand().alias("x")))
+    assert sorted(df.collect()) == sorted(df.collect()) and df.count() == 6
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    assert 0 < size < 10_000
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    class Context:
+        master = "local-cluster[2,1,1024]"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), type("Conf", (), {"get": staticmethod(lambda *_: None)})
+
+    with pytest.raises(ValueError, match="shared"):
+        shared_folder(Session())
