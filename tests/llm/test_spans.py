@@ -1,0 +1,137 @@
+"""Personal data and secrets against Python's regular expressions."""
+
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from riskmart.llm import pii, secrets
+from riskmart.llm.spans import replaced
+
+PIECES = [
+    "a", "b.", "@", ".", "1", "23", "255", "256", "-", " ", "+", "(", ")", "4929348385146306", "_", "😀", "é", "\n", "x@y.z", "1.2.3.4",
+    "+1 (017) 555-7713", "Token", "secret:", "api_key=", "PASSWORD = ", '"', "abcdef", "AKIA", "ABCDEFGHIJKLMNOP", "0123456789abcdef",
+]
+LONG = [(1, None), (2, ""), (3, "1" * 50000), (4, "1 " * 5000), (5, "a@b.c." * 3000), (6, "+1" + " " * 50000), (7, "token=" * 3000)]
+
+
+def rows(seed):
+    rng = random.Random(seed)
+    return [(k, "".join(rng.choice(PIECES) for _ in range(rng.randint(0, 60)))) for k in range(800)] + LONG
+
+
+def luhn(number):
+    doubled = [int(c) * (2 if k % 2 else 1) for k, c in enumerate(reversed(number))]
+    return sum(d - 9 if d > 9 else d for d in doubled) % 10 == 0
+
+
+def private(text):
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    forms = [
+        (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda s: True),
+        (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda s: all(int(p) <= 255 for p in s.split("."))),
+        (r"[0-9]([\x20-]?[0-9])+", lambda s: 16 <= len(digits(s)) <= 19 and luhn(digits(s))),
+        (r"\+[0-9][\x20().0-9-]+[0-9]", lambda s: 8 <= len(digits(s)) <= 15),
+    ]
+    return [[(m.start(), m.end()) for m in re.finditer(p, text or "") if good(m[0])] for p, good in forms]
+
+
+def secret(text):
+    assign = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    forms = [
+        (assign, lambda m: len(m[2]) >= 6), ("AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 20), ("[0-9a-f]+", lambda m: len(m[0]) >= 24),
+    ]
+    return [[(m.start(), m.end()) for m in re.finditer(p, text or "") if good(m)] for p, good in forms]
+
+
+def pairs(spans):
+    return F.transform(spans, lambda s: F.struct(s["start"], s["end"]))
+
+
+def test_private_forms(documents):
+    text = F.coalesce("text", F.lit(""))
+    found = documents(rows(1)).select("text", *[pairs(s).alias(k) for s, k in zip(pii.base_spans(text), pii.KINDS)])
+    for r in found.collect():
+        assert [[tuple(s) for s in r[k]] for k in pii.KINDS] == private(r.text)
+
+
+def test_secret_forms(documents):
+    text = F.coalesce("text", F.lit(""))
+    found = documents(rows(2)).select("text", *[pairs(s).alias(k) for s, k in zip(secrets.base_spans(text), secrets.KINDS)])
+    for r in found.collect():
+        assert [[tuple(s) for s in r[k]] for k in secrets.KINDS[:3]] == secret(r.text)
+
+
+def test_entropy_adds_random_strings_and_spares_the_allowed(documents):
+    rng = random.Random(3)
+    key = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(40))
+    plain = "123e4567-e89b-12d3-a456-426614174000 aaaaaaaaaaaaaaaaaaaaaaaa1 /usr/local/share/someThing/other_thing12 thanbleshaningtionnt"
+    table = documents([(1, f"😀 {key} end"), (2, plain), (3, f"password: {key}"), (4, "z" * 5000 + key)])
+    found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secrets.with_spans(table).collect()}
+    (kind, start, end), = found[1]
+    assert kind == "entropy" and 2 <= start < 12 and 32 < end <= 42
+    assert found[2] == [] and found[3] == [("assign", 0, 50)]
+    assert [s[0] for s in found[4]] == ["entropy"] and 5030 < found[4][0][2] <= 5040
+
+
+def entropies(string):
+    import math
+
+    out = []
+    for i in range(len(string) - secrets.WINDOW + 1):
+        window = string[i : i + secrets.WINDOW]
+        out.append(-sum(window.count(c) / len(window) * math.log2(window.count(c) / len(window)) for c in set(window)))
+    return out
+
+
+def test_sliding_entropy_equals_counting_every_window(documents):
+    rng = random.Random(4)
+    strings = ["".join(rng.choice("abcd0123456789EFGH"[: rng.randint(2, 18)]) for _ in range(rng.randint(20, 60))) for _ in range(60)]
+    found = documents(list(enumerate(strings))).select("text", secrets.entropy_range(F.col("text"), F.lit(3.0)).alias("r")).collect()
+    for r in found:
+        hits = [i for i, h in enumerate(entropies(r.text)) if h >= 3.0 + 1e-9]
+        assert (r.r["first"], r.r["last"]) == ((hits[0], hits[-1]) if hits else (None, None))
+
+
+def test_redaction_keeps_columns_and_counts_characters(documents):
+    table = documents([(1, "é token=abcdefgh x", 3, "b"), (2, None, None, "c")], "doc_id long, text string, n_chars long, base string")
+    found = {r.doc_id: r for r in secrets.redacted(table).collect()}
+    assert (found[1].text, found[1].n_chars, found[1].base) == ("é [SECRET] x", 12, "b") and found[2].text is None
+
+
+def test_overlapping_spans_are_replaced_once(documents):
+    spans = F.expr("array(struct(1 as start, 4 as end), struct(2 as start, 6 as end), struct(8 as start, 9 as end))")
+    assert documents([(1, "0123456789")]).select(replaced(F.col("text"), spans, "#").alias("t")).first().t == "0#67#9"
+
+
+def labelled(n):
+    """Numbers that look like cards; every third is not valid, and some have no check digit at all."""
+    rng = random.Random(5)
+
+    def card():
+        while True:
+            number = "".join(rng.choice("0123456789") for _ in range(16))
+            if luhn(number):
+                return number
+
+    return [(k, f"pay by card {card()} now" if k % 3 else f"build {rng.randint(10**6, 10**9)} done") for k in range(n)]
+
+
+def test_trees_add_what_looks_like_the_confirmed(documents, staging):
+    extra = [(9000, "pay by card 4111111111111112 now"), (9001, "build 12345678 done"), (9002, None)]
+    found = pii.with_spans(documents([(d, t, "s") for d, t in labelled(900) + extra], "doc_id long, text string, spans string"), staging)
+    assert found.columns == ["doc_id", "text", "base", "spans"]
+    by_id = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in found.collect()}
+    assert by_id[9000] == [("number", 12, 28)] and by_id[9001] == [] and by_id[9002] == []
+    assert by_id[1] == [("card", 12, 28)]
+
+
+def test_without_labels_nothing_is_added(documents, staging):
+    found = pii.with_spans(documents([(1, "call 1234567 or a@b.cd"), (1, "call 1234567 or a@b.cd")]), staging).collect()
+    assert [[s.kind for s in r.spans] for r in found] == [["email"], ["email"]]
+    assert pii.with_spans(documents([]), staging).count() == 0
+
+
+def test_personal_data_is_redacted(documents, staging):
+    found = pii.redacted(documents([(1, "to a@b.cd!"), (2, None)]), staging).collect()
+    assert {r.doc_id: r.text for r in found} == {1: "to [PII]!", 2: None}
