@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import query
-from catalog.features import gold
+from catalog.features import full_base, gold
 from catalog.loans import monthly_loans
-from catalog.views import TRAIN_END, duck, plain, raw
-from riskmart.operators import metrics, model, profile, training
+from catalog.views import TRAIN_END, VALID_SNAPSHOTS, duck, plain, raw
+from riskmart.operators import features, metrics, model, profile, training
 from riskmart.operators.features import CLAMP_COLUMNS
 from riskmart.operators.loans import label_store
 from riskmart.plans.modelling import Evaluation
@@ -128,9 +128,10 @@ def auc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def evaluated(spark: SparkSession, sf_dir: str) -> Evaluation:
-    return run_train_evaluate(
-        gold(spark, sf_dir), label_store(monthly_loans(spark, sf_dir)), "baseline", TRAIN_END
-    )
+    staging = Staging(spark)
+    store = staging.table(gold(spark, sf_dir), "gold")
+    labels = staging.table(label_store(monthly_loans(spark, sf_dir)), "labels")
+    return run_train_evaluate(store, labels, "baseline", TRAIN_END)
 
 
 @query()
@@ -153,7 +154,17 @@ def coef_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def train_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluated(spark, sf_dir).metrics
+    return evaluated(spark, sf_dir).metrics.drop("run_ts")
+
+
+@query()
+def train_evaluate_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of a model fitted on the full store as it is written, clickstream gaps included."""
+    staging = Staging(spark)
+    store = staging.table(features.feature_table(staging.table(full_base(spark, sf_dir), "base", "snapshot_date"), exact=True), "full")
+    labels = staging.table(label_store(monthly_loans(spark, sf_dir)), "labels")
+    result = run_train_evaluate(store, labels, "full", VALID_SNAPSHOTS[-3])
+    return result.metrics.select("label", "feature_set", "accuracy", "roc_auc")
 
 
 @query()

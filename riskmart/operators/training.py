@@ -36,6 +36,16 @@ def feature_columns(df: DataFrame) -> list[str]:
     return names
 
 
+def columns_with_values(df: DataFrame, names: list[str]) -> list[str]:
+    """The columns that hold a number in any row."""
+    def number(name: str):
+        value = F.col(name).cast("double")
+        return F.when(~F.isnan(value), value)
+
+    known = df.agg(*[F.count(number(c)).alias(c) for c in names]).first()
+    return [c for c in names if known[c]]
+
+
 def check_split(df: DataFrame, train_end: str) -> tuple[int, int]:
     """(train, test) row counts in one pass; raises where the join or the test set is empty."""
     late = F.col("label_obs_date") > F.lit(train_end).cast("date")

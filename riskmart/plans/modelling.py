@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from riskmart.operators.metrics import class_report, confusion, metrics_row, metrics_table
 from riskmart.operators.model import DefaultModel, fit_model
 from riskmart.operators.profile import distribution
-from riskmart.operators.training import check_split, chronological_split, feature_columns, training_set
+from riskmart.operators.training import check_split, chronological_split, columns_with_values, feature_columns, training_set
 from riskmart.plans.backfill import BASELINE, FULL, LABELS, Datamart
 from riskmart.sources.scratch import Staging, settled
 from riskmart.sources.snapshots import write_result
@@ -39,14 +39,16 @@ def train_evaluate(
     """Fit on labels observed up to ``train_end`` and evaluate before and after it.
 
     The joined rows are written once, since fitting reads them many times, and so are the
-    scores. ``exact=False`` estimates the clip bounds and medians in one aggregate.
+    scores. A column without a value in any training row, such as a clickstream feature that began
+    later, cannot be fitted and is left out of the model. ``exact=False`` estimates the clip bounds and medians in one aggregate.
     """
     spark = features.sparkSession
     with Staging(spark) as staging:
         merged = staging.table(training_set(features, labels), "training")
         check_split(merged, train_end)
         train, _ = chronological_split(merged, train_end)
-        model = fit_model(train, feature_columns(merged), max_iter, exact=exact)
+        names = columns_with_values(train, feature_columns(merged))
+        model = fit_model(train, names, max_iter, exact=exact)
 
         is_train = F.col("label_obs_date") <= F.lit(train_end).cast("date")
         split = F.when(is_train, "train").otherwise("test")

@@ -120,3 +120,19 @@ def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="shared"):
         shared_folder(Session())
+
+
+def test_raw_files_are_read_by_their_own_headers(spark, tmp_path):
+    schema = "Name string, Age string"
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    (folder / "a.csv").write_text('Name,Age\nn1, 20\n"x, y",\n')
+    (folder / "b.csv").write_text("Age,extra,Name\n30,e,n2\n")
+    (folder / "empty.csv").write_text("")
+    wanted = spark.createDataFrame([], schema).schema
+    found = sorted(tuple(r) for r in read_raw(spark, str(folder), wanted).collect())
+    assert found == [("n1", " 20"), ("n2", "30"), ("x, y", None)]
+    assert read_raw(spark, str(folder / "b.csv"), wanted).collect()[0]["Name"] == "n2"
+    (folder / "c.csv").write_text("Name\nn3\n")
+    with pytest.raises(ValueError, match="lacks the columns"):
+        read_raw(spark, str(folder), wanted)
