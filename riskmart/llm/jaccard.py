@@ -10,11 +10,16 @@ both; only pairs in the intersection are verified, on whole sets.
    send back those of two and more. A frequent token is one number per text in its group's pack, so it loads
    no task more than others.
 2. Each text posts the prefix tokens that occur elsewhere. Texts with equal sets are one class.
-3. In every posting list, all classes are paired with its smallest one, which is linear. Verified links give
-   first components; large groups of near copies become one component here.
-4. Lists that still hold several components give the pairs across them, and the links found there
+3. In every posting list that holds several components, all classes are paired with its most central one: that
+   with the fewest tokens found nowhere else, as an original has among its changed copies. This is linear. Verified
+   links give components, and large groups of near copies become one component here.
+4. Lists that still hold several components give all pairs across them, and the links found there
    are added. No link between different components is left out, and no pair inside one is needed.
 
+A token that occurs nowhere else is in no intersection. The first token that two sets have in common is followed by
+all others, so in each set enough tokens that occur elsewhere must be left from there on; a list
+forms only pairs that can still reach the similarity.
+
 Tokens and classes are known by 64-bit hashes; packs hold 32 bits of a token within its bucket,
 which only affects the order of tokens, not results.
 
@@ -43,8 +48,9 @@ SHINGLE, PERCENT = 4, 85
 GROUP_BYTES = 16 << 20
 MOST = 60_000  # frequencies beyond are alike
 ORDERS = 2
+ROUNDS = 1  # with central classes
 SETS = (
-    "doc_id long, key long, tag long, n long, class long, "
+    "doc_id long, key long, tag long, n long, shared long, class long, "
     "first array<long>, second array<long>, tokens array<long>"
 )
 
@@ -174,7 +180,7 @@ def _posted(batch: pa.RecordBatch, row: np.ndarray, token: np.ndarray, frequency
     for tie, scale in orders:
         order = np.lexsort((tie, scale, row))  # rows stay in place
         chosen = order[(np.arange(len(row)) - rows[row]) < prefix[row]]
-        posted.append(np.sort(chosen[frequency[chosen] >= 2]))
+        posted.append(chosen[frequency[chosen] >= 2])  # still in order
     shared = np.ones(batch.num_rows, bool)
     for chosen in posted:
         shared &= np.bincount(row[chosen], minlength=batch.num_rows) > 0
@@ -189,47 +195,67 @@ def _posted(batch: pa.RecordBatch, row: np.ndarray, token: np.ndarray, frequency
 
     return {
         "doc_id": batch.column("doc_id").cast(pa.int64()), "key": batch.column("key"), "tag": batch.column("tag"), "n": pa.array(n, pa.int64()),
+        "shared": pa.array(np.bincount(row[frequency >= 2], minlength=batch.num_rows), pa.int64()),
         "class": pa.array(sets.view(np.int64)), "first": lists(posted[0]), "second": lists(posted[1]), "tokens": lists(np.arange(len(row))),
     }
 
 
 def similar_enough(a: str, b: str, percent: int) -> Column:
-    """Whether sizes allow the similarity."""
-    return (100 * F.col(a) >= percent * F.col(b)) & (100 * F.col(b) >= percent * F.col(a))
+    """Whether the entries ``a`` and ``b`` of a list can reach the similarity with its token as their first common one."""
+    a_n, b_n, left = F.col(f"{a}.n"), F.col(f"{b}.n"), F.least(f"{a}.left", f"{b}.left")
+    return (100 * a_n >= percent * b_n) & (100 * b_n >= percent * a_n) & ((100 + percent) * left >= percent * (a_n + b_n))
+
+
+LISTS = ["ordering", "token"]
 
 
 def postings(sets: DataFrame) -> DataFrame:
-    """(ordering, token, class, n) of all posted tokens; the lists of an ordering are lists of its own."""
+    """(ordering, token, entry) of all posted tokens.
+
+    An entry is a class: its tokens found nowhere else, which sort the most central first, its size, and its tokens found elsewhere
+    that are left from this one on.
+    """
     orders = F.array(*[F.struct(F.lit(i).alias("ordering"), F.col(c).alias("tokens")) for i, c in enumerate(("first", "second"))])
-    each = sets.filter(F.size("first") > 0).select("class", "n", F.explode(orders).alias("o"))
-    return each.select("o.ordering", F.explode("o.tokens").alias("token"), "class", "n")
+    each = sets.filter(F.size("first") > 0).select("class", "n", "shared", F.explode(orders).alias("o"))
+    each = each.select("class", "n", "shared", "o.ordering", F.posexplode("o.tokens").alias("place", "token"))
+    entry = F.struct((F.col("n") - F.col("shared")).alias("alone"), "class", "n", (F.col("shared") - F.col("place")).alias("left"))
+    return each.select(*LISTS, entry.alias("entry"))
 
 
 def under_all_orders(pairs: DataFrame) -> DataFrame:
-    """Pairs (a, b) that were met under every order."""
-    return pairs.distinct().groupBy("a", "b").agg(F.count("*").alias("met")).filter(F.col("met") == ORDERS).select("a", "b")
-
-
-def paired_with_smallest(posted: DataFrame, percent: int) -> DataFrame:
-    lists = ["ordering", "token"]
-    smallest = posted.groupBy(*lists).agg(F.min(F.struct("class", "n")).alias("least"), F.max("class").alias("most"))
-    smallest = smallest.filter(F.col("least.class") != F.col("most")).select(*lists, F.col("least.class").alias("a"), F.col("least.n").alias("a_n"))
-    pairs = posted.join(smallest, lists).filter((F.col("a") != F.col("class")) & similar_enough("a_n", "n", percent))
-    return under_all_orders(pairs.select("a", F.col("class").alias("b"), "ordering"))
-
-
-def paired_across(posted: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """All pairs of classes in a list that lie in different components so far."""
-    lists = ["ordering", "token"]
-    posted = posted.distinct().join(labels.withColumnRenamed("node", "class"), "class", "left")
-    posted = posted.withColumn("component", F.coalesce("component", "class"))
-    mixed = posted.groupBy(*lists).agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high").select(*lists)
-    posted = posted.join(mixed, lists)
-    one, two = (posted.select(*lists, *[F.col(c).alias(f"{side}_{c}") for c in ("class", "n", "component")]) for side in "ab")
-    pairs = one.join(two, lists).filter(
-        (F.col("a_class") < F.col("b_class")) & (F.col("a_component") != F.col("b_component")) & similar_enough("a_n", "b_n", percent)
+    """Pairs (a, b) with a < b that were met under every order."""
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "ordering").distinct()
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("met")).filter(F.col("met") == ORDERS).select("a", "b")
+
+
+def in_components(posted: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``posted`` with the component of each class so far."""
+    if labels is None:
+        return posted.withColumn("component", F.col("entry.class"))
+    known = labels.select(F.col("node").alias("class"), "component")
+    joined = posted.withColumn("class", F.col("entry.class")).join(known, "class", "left")
+    return joined.select(*LISTS, "entry", F.coalesce("component", "class").alias("component"))
+
+
+def paired_with_central(posted: DataFrame, percent: int) -> DataFrame:
+    """In every list of several components, its most central class with those of other components."""
+    lists = posted.groupBy(*LISTS).agg(
+        F.min(F.struct("entry", "component")).alias("central"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    lists = lists.filter("low != high").select(*LISTS, F.col("central.entry").alias("middle"), F.col("central.component").alias("own"))
+    pairs = posted.join(lists, LISTS).filter((F.col("own") != F.col("component")) & similar_enough("middle", "entry", percent))
+    return under_all_orders(pairs.select(F.col("middle.class").alias("a"), F.col("entry.class").alias("b"), "ordering"))
+
+
+def paired_across(posted: DataFrame, percent: int) -> DataFrame:
+    """All pairs of classes in a list that lie in different components."""
+    mixed = posted.groupBy(*LISTS).agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
+    posted = posted.distinct().join(mixed.select(*LISTS), LISTS)
+    one, two = (posted.select(*LISTS, F.col("entry").alias(side), F.col("component").alias(f"{side}_component")) for side in "ab")
+    pairs = one.join(two, LISTS).filter(
+        (F.col("a.class") < F.col("b.class")) & (F.col("a_component") != F.col("b_component")) & similar_enough("a", "b", percent)
     )
-    return under_all_orders(pairs.select(F.col("a_class").alias("a"), F.col("b_class").alias("b"), "ordering"))
+    return under_all_orders(pairs.select(F.col("a.class").alias("a"), F.col("b.class").alias("b"), "ordering"))
 
 
 def verified(pairs: DataFrame, representatives: DataFrame, percent: int) -> DataFrame:
@@ -247,17 +273,22 @@ def linked_classes(sets: DataFrame, staging: Staging, percent: int) -> DataFrame
     """(node, component) of the classes that are linked with others."""
     shown = sets.filter(F.size("first") > 0).groupBy("class").agg(F.min(F.struct("key", "tag")).alias("shown"))
     representatives = sets.join(shown, "class").filter(F.struct("key", "tag") == F.col("shown")).select("class", "tokens").dropDuplicates(["class"])
-    posted = postings(sets)
-    tried = staging.table(paired_with_smallest(posted, percent), "tried")
-    links = staging.table(verified(tried, representatives, percent), "links")
-    labels = components(links, staging, "first")
-    pairs = paired_across(posted, labels, percent).join(tried, ["a", "b"], "left_anti")
-    pairs = pairs.join(tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-    more = staging.table(verified(pairs, representatives, percent), "more")
-    if more.isEmpty():
-        return labels
-    # Component and its nodes as a star, and the links across.
-    return components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), staging, "all")
+    posted, labels, tried = postings(sets), None, None
+    for step in range(ROUNDS + 1):
+        placed = in_components(posted, labels)
+        pairs = paired_across(placed, percent) if step == ROUNDS else paired_with_central(placed, percent)
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = staging.table(pairs, f"pairs{step}")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        links = staging.table(verified(pairs, representatives, percent), f"links{step}")
+        if labels is None:
+            labels = components(links, staging, f"components{step}")
+        elif not links.isEmpty():
+            # Components so far as stars, and the new links.
+            stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            labels = components(stars.unionByName(links), staging, f"components{step}")
+    return labels
 
 
 def near_copies(docs: DataFrame, staging: Staging, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -289,7 +320,36 @@ def without_near_copies(docs: DataFrame, staging: Staging, size: int, percent: i
     return rows.join(kept, ["key", "tag"]).withColumn("copy", copy).filter("empty or copy = 1").select("row.*")
 
 
-@query("op1_jaccard")
+SQL = r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(words[i : i + 3], ' ') AS shingle
+    FROM texts, unnest(range(1, greatest(len(words) - 2, 2))) AS places(i) WHERE len(words) > 0
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+    SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * common.n >= 85 * (x.n + y.n - common.n)
+), both_ways AS (
+    SELECT a, b FROM links UNION SELECT b, a FROM links
+), reached AS (
+    SELECT doc_id AS start, doc_id AS node FROM documents
+    UNION
+    SELECT start, b FROM reached JOIN both_ways ON a = node
+)
+SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(node) AS component_id
+FROM documents JOIN reached ON start = documents.doc_id LEFT JOIN sizes USING (doc_id)
+GROUP BY doc_id
+"""
+
+
+@query("op1_jaccard", SQL)
 def op1_jaccard(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_copies(docs, Staging(spark)).select("doc_id", "n_shingles", "component_id")
