@@ -231,12 +231,10 @@ def chi_square_quantile(level: float, degrees: int) -> float:
 
 def quality_filter(docs: DataFrame, staging: Staging) -> DataFrame:
     """The documents that are kept, with their own columns."""
-    return judged(docs, staging).filter("kept").select(*[f"`{c}`" for c in docs.columns])
-
-
-def judged(docs: DataFrame, staging: Staging) -> DataFrame:
-    stats = staging.table(with_statistics(docs), "statistics")
-    return with_verdict(stats, ["lang", "source"], staging)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    stats = staging.table(with_statistics(docs.select(row, "text", "lang", "source")).drop("text"), "statistics")
+    judged = with_verdict(stats, ["lang", "source"], staging)
+    return judged.filter("kept").select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 @query("op5_quality")

@@ -39,8 +39,10 @@ def test_outliers_go_and_clean_texts_stay(documents, staging):
     rows = [(k, t, "en", "hot" if k % 3 else None) for k, t in enumerate(corpus(900))]
     junk = [(1000 + k, re.sub(r"(\w+)", r"\1#$%", t), "en", "hot") for k, t in enumerate(corpus(40, 2))]
     alone = [(2000, "#$% " * 3 + corpus(1, 3)[0], "xx", "rare"), (2001, None, None, None), (2000, "#$% " * 3 + corpus(1, 3)[0], "xx", "rare")]
-    kept = {r.doc_id for r in quality.quality_filter(documents(rows + junk + alone, SCHEMA), staging).collect()}
-    assert kept == set(range(900)) | {2000}
+    table = documents([(*r, 1, "x") for r in rows + junk + alone], SCHEMA + ", n_words int, distance string")
+    kept = quality.quality_filter(table, staging)
+    assert kept.columns == table.columns
+    assert {r.doc_id for r in kept.collect()} == set(range(900)) | {2000}
 
 
 def test_estimates_are_near_those_of_the_clean_part(spark, staging):

@@ -105,13 +105,14 @@ def unigram_library():
 
 def test_paths_score_as_the_best_of_the_library(documents, rows):
     model, library = sentencepieces.model(MODEL), unigram_library()
-    # The library adds up floats, which a piece of a very low score would swamp.
-    single = {p for p, s, use in zip(model.pieces, model.scores, model.ordinary) if use and len(p) == 1 and s > -1e6} | {" "}
+    single = {p for p, use in zip(model.pieces, model.ordinary) if use and len(p) == 1} | {" "}
     lines = [re.sub("  +", " ", line).strip()[:300] for _, t in rows for line in (t or "").split("\n")]
     lines = [line for line in lines if line and set(line) <= single][:250]
     found = {r.doc_id: r for r in sentencepieces.encode(documents(list(enumerate(lines))), MODEL, 1 << 14).collect()}
     score = lambda ids: sum(model.scores[i] for i in ids)
     for k, line in enumerate(lines):
+        if found[k].score < -1e8:
+            continue  # the library adds up floats, which a piece of a very low score swamps
         best = library.nbest_encode_as_ids(line, 2)[0]
         assert score(found[k].ids) == found[k].score == score(best)
         assert library.decode(found[k].ids) == line
