@@ -4,9 +4,11 @@ The statistics of each document are transformed to five numbers on comparable sc
 language and source a minimum-covariance-determinant estimate of centre and scatter is fitted: from
 medians and absolute deviations the nearest three quarters of the documents are found, their mean and covariance give
 new distances, and so on (concentration steps), each time over all documents with one
-aggregate by group and distance bin. A last step takes every document within the usual range. A document whose
-squared Mahalanobis distance passes a far chi-square quantile is rejected. Groups of fewer than
-``MIN_ROWS`` documents share the estimate of their language; a language with fewer rejects nothing.
+aggregate by group and distance bin. A last step takes every document within the usual range. The same is done for each
+language and for all documents, and a group's centre and scatter are shrunk towards its language's, which are shrunk towards
+those of all documents: with n documents the own estimate weighs n / (n + ``PRIOR``), and the rest goes to the
+broader estimate, whose scatter is widened by how far the centres of such groups lie from their broader ones. So every group has
+a verdict, whatever its size. A document whose squared Mahalanobis distance passes a far chi-square quantile is rejected.
 
 Everything is DataFrame expressions. Estimates are tables of one row per group; nothing per document is ever collected.
 
@@ -31,7 +33,7 @@ BLANKS = " \t\n\x0b\x0c\r"
 BLANK_CLASS = r"[\x20\x09-\x0D]"
 WINDOW = 5
 MIN_WORDS, MAX_REPEATED = 10, 20  # words; percent of the words
-MIN_ROWS = 200
+PRIOR = 50.0  # documents that the broader estimate counts for
 SUPPORT = 0.75  # share of a group that the estimate rests on
 STEPS = 4
 USUAL, FAR = 0.975, 1 - 1e-6  # chi-square levels of the last step and of the verdict
@@ -92,37 +94,35 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def shape() -> list[Column]:
-    """The transformed statistics of a text with words."""
+    """The transformed statistics of a text; null without words."""
     words, chars = F.col("n_words"), F.col("word_chars")
     return [
         F.log(words),
-        F.log(chars / words),
-        F.sqrt(F.col("n_symbols") / chars),
-        F.sqrt(F.col("n_dup_lines") / words),
-        F.sqrt(F.col("n_repeat_words") / words),
+        F.log(F.try_divide(chars, words)),
+        F.sqrt(F.try_divide(F.col("n_symbols"), chars)),
+        F.sqrt(F.try_divide(F.col("n_dup_lines"), words)),
+        F.sqrt(F.try_divide(F.col("n_repeat_words"), words)),
     ]
 
 
 def with_verdict(stats: DataFrame, by: list[str], staging: Staging, far: float = FAR) -> DataFrame:
-    """``stats`` with ``distance`` (squared; null without an estimate) and ``kept``.
+    """``stats`` with ``distance`` (squared; null where the base limits fail) and ``kept``.
 
     ``by`` are the columns of a group, the broadest first. ``stats`` is read once per step, so it
     should be a stored table.
     """
     good = ~F.col("base_failed")
     # Names of its own for the keys, so that nothing clashes with a document's columns.
-    broad, narrow = F.struct(F.lit(0).alias("level"), *_keys(by[:1], by)), F.struct(F.lit(1).alias("level"), *_keys(by, by))
-    sizes = stats.filter(good).groupBy(narrow.alias("_narrow"), broad.alias("_broad")).agg(F.count("*").alias("_n"))
-    broad_size = F.sum("_n").over(W.partitionBy("_broad"))
-    group = F.when(F.col("_n") >= MIN_ROWS, F.col("_narrow")).when(broad_size >= MIN_ROWS, F.col("_broad"))
-    groups = staging.table(sizes.select("_narrow", group.alias("_group")), "groups")
-    placed = stats.withColumn("_narrow", narrow).join(groups, "_narrow", "left")
-    points = placed.withColumns(dict(zip(SHAPE, shape())))
-    fit = estimates(points.filter(good & F.col("_group").isNotNull()).select("_group", *SHAPE), staging)
-    distance = F.when(good, mahalanobis())
-    judged = points.join(fit, "_group", "left").withColumn("distance", distance)
-    kept = good & F.coalesce(F.col("distance") <= chi_square_quantile(far, len(SHAPE)), F.lit(True))
-    return judged.withColumn("kept", kept).select(*stats.columns, "distance", "kept")
+    levels = [F.struct(F.lit(k).alias("level"), *_keys(by[:k], by)) for k in range(len(by) + 1)]
+    narrow = f"_g{len(by)}"
+    sizes = stats.filter(good).groupBy(*[level.alias(f"_g{k}") for k, level in enumerate(levels)]).agg(F.count("*").alias("n"))
+    groups = staging.table(sizes, "groups")
+    points = stats.filter(good).select(F.explode(F.array(*levels)).alias("_group"), *[x.alias(c) for c, x in zip(SHAPE, shape())])
+    fit = shrunk(groups, estimates(points, staging), len(by), staging)
+    judged = stats.withColumns({narrow: levels[-1]} | dict(zip(SHAPE, shape()))).join(fit, narrow, "left")
+    judged = judged.withColumn("distance", F.when(good, mahalanobis()))
+    kept = good & (F.col("distance") <= chi_square_quantile(far, len(SHAPE)))
+    return judged.withColumn("kept", F.coalesce(kept, F.lit(False))).select(*stats.columns, "distance", "kept")
 
 
 def _keys(used: list[str], all_keys: list[str]) -> list[Column]:
@@ -187,11 +187,46 @@ def _step(points: DataFrame, fit: DataFrame, share: float, within: float | None)
     out = total.select(
         "_group", *[(F.col(f"m{i}") + F.col(f"p{i}") / F.col("n")).alias(f"m{i}") for i in range(p)], *[v.alias(k) for k, v in cov.items()]
     )
-    for i in range(p):  # Cholesky factor of the scatter, entry by entry
+    return _factored(out)
+
+
+def _factored(fit: DataFrame) -> DataFrame:
+    """Cholesky factor ``l*_*`` instead of the scatter ``c*_*``, entry by entry."""
+    p = len(SHAPE)
+    for i in range(p):
         for j in range(i + 1):
             rest = F.col(f"c{i}_{j}") - sum((F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}") for k in range(j)), F.lit(0.0))
-            out = out.withColumn(f"l{i}_{j}", F.sqrt(F.greatest(rest, F.lit(FLOORS[i] ** 2))) if i == j else rest / F.col(f"l{j}_{j}"))
-    return out.drop(*cov)
+            fit = fit.withColumn(f"l{i}_{j}", F.sqrt(F.greatest(rest, F.lit(FLOORS[i] ** 2))) if i == j else rest / F.col(f"l{j}_{j}"))
+    return fit.drop(*[f"c{i}_{j}" for i in range(p) for j in range(i + 1)])
+
+
+def shrunk(groups: DataFrame, fit: DataFrame, depth: int, staging: Staging) -> DataFrame:
+    """Centre and Cholesky factor of each narrowest group, shrunk level by level from all documents down.
+
+    ``groups`` has the keys ``_g0`` (all documents) to ``_g<depth>`` and the size ``n`` of every narrowest group.
+    """
+    p = len(SHAPE)
+    entries = [(i, j) for i in range(p) for j in range(i + 1)]
+    scatter = {f"c{i}_{j}": sum((F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}") for k in range(j + 1)), F.lit(0.0)) for i, j in entries}
+    centre = [f"m{i}" for i in range(p)]
+    own = fit.select("_group", *centre, *[v.alias(c) for c, v in scatter.items()])
+    level = own.filter(F.col("_group.level") == 0).withColumnRenamed("_group", "_g0")
+    for k in range(1, depth + 1):
+        broad = level.select(f"_g{k - 1}", *[F.col(c).alias(f"b{c}") for c in [*centre, *scatter]])
+        sizes = groups.groupBy(f"_g{k}", f"_g{k - 1}").agg(F.sum("n").alias("n"))
+        both = sizes.join(own.withColumnRenamed("_group", f"_g{k}"), f"_g{k}").join(broad, f"_g{k - 1}")
+        both = both.withColumn("w", F.col("n") / (F.col("n") + PRIOR))
+        apart = [F.col(c) - F.col(f"b{c}") for c in centre]
+        both = staging.table(both, f"level{k}")
+        # A small group says little of how far centres lie apart.
+        between = both.agg(*[(F.sum(F.col("w") ** 2 * apart[i] * apart[j]) / F.sum(F.col("w") ** 2)).alias(f"a{i}_{j}") for i, j in entries])
+        rest = 1 - F.col("w")
+        level = both.crossJoin(F.broadcast(between)).select(
+            f"_g{k}",
+            *[(F.col("w") * F.col(c) + rest * F.col(f"b{c}")).alias(c) for c in centre],
+            *[(F.col("w") * F.col(f"c{i}_{j}") + rest * (F.col(f"bc{i}_{j}") + F.col(f"a{i}_{j}"))).alias(f"c{i}_{j}") for i, j in entries],
+        )
+    return staging.table(_factored(level), "shrunk")
 
 
 def mahalanobis() -> Column:

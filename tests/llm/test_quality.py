@@ -60,6 +60,21 @@ def test_estimates_are_near_those_of_the_clean_part(spark, staging):
         assert np.abs(factor @ factor.T - wanted).max() < 0.45
 
 
+def test_small_groups_reject_too(documents, staging):
+    rows = [(k, t, "en" if k % 2 else "de", f"s{k % 5}") for k, t in enumerate(corpus(60))]
+    junk = [(1000 + k, re.sub(r"(\w+)", r"\1#$%", t), lang, "s1") for k, (t, lang) in enumerate(zip(corpus(3, 2), ["en", "de", "fr"]))]
+    stats = quality.with_statistics(documents(rows + junk, SCHEMA)).drop("text")
+    found = quality.with_verdict(stats, ["lang", "source"], staging).collect()
+    assert all(r.distance is not None for r in found)
+    assert {r.doc_id for r in found if not r.kept} == {1000, 1001, 1002}
+
+
+def test_a_group_of_its_own_kind_is_not_rejected_as_it_grows(documents, staging):
+    rows = [(k, t, "en", "a") for k, t in enumerate(corpus(600))] + [(1000 + k, t.replace("e", "eee"), "zz", "a") for k, t in enumerate(corpus(150, 7))]
+    kept = quality.quality_filter(documents(rows, SCHEMA), staging)
+    assert {r.doc_id for r in kept.collect()} == {r[0] for r in rows}
+
+
 def test_chi_square_values():
     assert abs(quality.chi_square_quantile(0.975, 5) - 12.8325) < 1e-3
     assert abs(quality.chi_square_cdf(11.0705, 5) - 0.95) < 1e-5
