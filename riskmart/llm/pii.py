@@ -3,17 +3,20 @@
 High-recall generators propose spans that may overlap: address-like, number-like, dotted or coloned groups,
 account-like. Each gets features of its format and of the characters around it. Gradient-boosted
 trees learn on a bounded sample (``SAMPLE`` candidates, the smallest by a hash over all of them) which
-candidates the fixed forms confirm; what a form checks and the features do not see (check digits,
-ranges) makes the rest hard negatives. Scores are calibrated by isotonic regression on a held-out quarter of the
-sample, and a candidate whose calibrated chance reaches ``CHANCE`` is redacted too, unless it
-overlaps a fixed form, which always stays, or a candidate with a better chance.
+candidates evidence of their own confirms: an address that has the email form once its "(at)" and "(dot)" are
+read, an IBAN's remainder by 97, address groups that parse, a valid card number, an international number or a national
+phone plan with the grouping or the words of a phone. What a check tests and the features do not see (check
+digits, ranges) makes the rest hard negatives. What only overlaps a fixed form is no label either way. Scores are calibrated
+by isotonic regression on a held-out quarter of the sample. Redacted too are candidates whose check is all but a
+proof (all of these but phone plans), and those whose calibrated chance reaches ``CHANCE``, unless they
+overlap a fixed form, which always stays, or a candidate that is proved or has a better chance.
 
 Everything is DataFrame expressions and Spark's own trees. Texts are read once; later
 passes see only spans.
 
 Defined results: a null or empty text has no spans; a null doc_id and repeated rows stay as they are, one
-result each; ties between overlapping candidates go to the earlier start, then the longer span; a sample without
-both kinds of candidates, or with fewer than ``LEAST`` held out, adds nothing; an empty table
+result each; ties between overlapping candidates go to the earlier start, then the longer span; with a sample without
+both kinds of candidates, or with fewer than ``LEAST`` held out, the trees add nothing; an empty table
 gives no rows; columns named ``base`` or ``spans`` are replaced, other extra columns are kept.
 """
 
@@ -28,7 +31,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskmart.llm.registry import query, table
-from riskmart.llm.spans import joined, matches, of_order, replaced
+from riskmart.llm.spans import joined, let, matches, of_order, replaced
 from riskmart.sources.scratch import Staging, checkpointed
 
 _LOCAL = "[A-Za-z0-9._%+-]"
@@ -42,7 +45,7 @@ KINDS = ["email", "ip", "card", "phone"]
 GENERATORS = {
     "contact": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]{1,63}+(?:(?:\.|\x20?\(dot\)\x20?|\x20?\[dot\]\x20?)[A-Za-z0-9-]{1,63}+)++",
     "number": r"(?<![0-9])[+(]?[0-9](?:[\x20()./-]{0,2}+[0-9]){6,}+",
-    "address": r"(?<![0-9A-Fa-f.:])(?:[0-9]{1,5}(?:\.[0-9]{1,5}){3}|(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4})(?![0-9A-Fa-f])",
+    "address": r"(?<![0-9A-Fa-f.:])(?:[0-9]{1,5}(?:\.[0-9]{1,5}){3}|(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}(?!:?[0-9A-Fa-f]))(?![0-9A-Fa-f])",
     "account": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){10,30}+",
 }
 AROUND = 24  # code points of context before a candidate
@@ -56,6 +59,12 @@ CONTEXT = [
 SAMPLE, HELD_OUT, LEAST = 20_000, 4, 50
 TREES, DEPTH = 10, 3
 CHANCE = 0.9
+ADDRESS = r"^[A-Za-z0-9_](?:[A-Za-z0-9_%+-]|\.(?!\.))*+(?<!\.)@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}$"
+GROUPS = r"^(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{2}:){5}[0-9A-Fa-f]{2})$"
+IBAN = r"^[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}$"
+# National numbers as digits: North America; Great Britain and Germany, France with the trunk zero; Spain.
+NATIONAL = r"^(?:1?[2-9][0-9]{2}[2-9][0-9]{6}|0[1-9][0-9]{7,10}|[6-9][0-9]{8}|00[1-9][0-9]{7,12})$"
+GROUPED = r"^(?:\(|0[0-9]*[\x20./-]|(?:1[\x20.-])?[0-9]{3}[\x20.-][0-9]{3}[\x20.-][0-9]{3,4}$)"
 SEED = 7
 
 
@@ -99,12 +108,46 @@ def features(text: Column, span: Column, generator: int) -> Column:
 N_FEATURES = 9 + 6 + len(CONTEXT)
 
 
+def evidence(span: Column, kind: str, features: Column) -> Column:
+    """How far a check of its own confirms a candidate: 2 all but proves it, 1 is a label only, 0 nothing."""
+    string = span["text"]
+    if kind == "contact":
+        plain = F.regexp_replace(F.regexp_replace(string, r"\x20?[(\[]at[)\]]\x20?", "@"), r"\x20?[(\[]dot[)\]]\x20?", ".")
+        return F.when(F.regexp_replace(plain, r"\x20", "").rlike(ADDRESS), 2).otherwise(0)
+    if kind == "address":
+        return F.when(string.rlike(IP_PARTS) | string.rlike(GROUPS), 2).otherwise(0)
+    if kind == "account":
+        number = F.regexp_replace(string, r"\x20", "")
+        return F.when(number.rlike(IBAN), F.when(remainder(number) == 1, 2).otherwise(0)).otherwise(0)
+    number = digits(string)
+    card = F.char_length(number).between(16, 19) & F.call_function("luhn_check", number) & ~string.rlike(r"[^0-9\x20-]")
+    abroad = string.rlike(r"^\+[1-9]") & F.char_length(number).between(8, 15)
+    spoken = features[N_FEATURES - len(CONTEXT) + 1] > 0
+    national = number.rlike(NATIONAL) & (spoken | string.rlike(GROUPED))
+    return F.when(card, 2).when(abroad | national, 1).otherwise(0)
+
+
+def remainder(account: Column) -> Column:
+    """Remainder by 97 of an account number with its first four characters moved to the end and letters as 10 to 35."""
+    moved = F.split(F.concat(F.substring(account, 5, 40), F.substring(account, 1, 4)), "")
+
+    def step(rest: Column, c: Column) -> Column:
+        value = F.ascii(c)
+        return F.when(value < 65, rest * 10 + value - 48).otherwise(rest * 100 + value - 55) % 97
+
+    return F.aggregate(F.filter(moved, lambda c: c != ""), F.lit(0), step)
+
+
 def candidates(text: Column) -> Column:
-    """All proposals as (start, end, kind, features)."""
+    """All proposals as (start, end, kind, features, evidence)."""
     def proposed(i: int, kind: str, pattern: str) -> Column:
         def described(s: Column) -> Column:
-            return F.struct(
-                s["start"].alias("start"), s["end"].alias("end"), F.lit(kind).alias("kind"), features(text, s, i).alias("features")
+            return let(
+                features(text, s, i),
+                lambda known: F.struct(
+                    s["start"].alias("start"), s["end"].alias("end"), F.lit(kind).alias("kind"), known.alias("features"),
+                    evidence(s, kind, known).alias("evidence"),
+                ),
             )
 
         return F.transform(matches(text, pattern), described)
@@ -133,36 +176,39 @@ def found(docs: DataFrame, staging: Staging, keep: list[str]) -> DataFrame:
 def added_spans(spans: DataFrame) -> DataFrame:
     """``_at`` and the spans that the trees add to each row."""
     overlap = F.exists("base", lambda b: (b["start"] < F.col("c")["end"]) & (F.col("c")["start"] < b["end"]))
+    equal = F.exists("base", lambda b: (b["start"] == F.col("c")["start"]) & (F.col("c")["end"] == b["end"]))
+    label = F.when(equal | (F.col("c.evidence") > 0), 1.0).when(~overlap, 0.0)
     rows = spans.select("_at", "base", F.explode("candidates").alias("c")).select(
-        "_at", "c.start", "c.end", "c.kind", overlap.cast("double").alias("label"),
+        "_at", "c.start", "c.end", "c.kind", label.alias("label"), overlap.alias("matched"), (F.col("c.evidence") == 2).alias("proved"),
         *[F.col("c.features")[i].alias(f"f{i}") for i in range(N_FEATURES)],
     )
     assemble = VectorAssembler(inputCols=[f"f{i}" for i in range(N_FEATURES)], outputCol="features")
     order = F.xxhash64(F.lit(SEED), "start", "end", "kind", *[f"f{i}" for i in range(N_FEATURES)], "_at")
     sample = checkpointed(
-        assemble.transform(rows.withColumn("order", order).orderBy("order", "_at").limit(SAMPLE))
+        assemble.transform(rows.filter("label is not null").withColumn("order", order).orderBy("order", "_at").limit(SAMPLE))
         .select("features", "label", (F.pmod("order", F.lit(HELD_OUT)) == 0).alias("held"))
         .coalesce(1)
     )
-    nothing = spans.limit(0).select("_at", F.lit(None).cast("array<struct<order:int,start:int,end:int,kind:string>>").alias("added"))
+    proved = rows.filter("proved and not matched").select("_at", "start", "end", "kind", F.lit(2.0).alias("score"))
     sizes = sample.agg(
         F.count(F.when(~F.col("held") & (F.col("label") == 1), 1)).alias("yes"),
         F.count(F.when(~F.col("held") & (F.col("label") == 0), 1)).alias("no"),
         F.count(F.when(F.col("held"), 1)).alias("held"),
     ).first()
     if not sizes["yes"] or not sizes["no"] or sizes["held"] < LEAST:
-        return nothing
+        return _chosen(proved)
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=SEED).fit(sample.filter("not held"))
     score = vector_to_array("probability")[1].alias("score")
     calibration = IsotonicRegression(featuresCol="score").fit(trees.transform(sample.filter("held")).select("label", score))
-    open_rows = assemble.transform(rows.filter("label = 0"))
+    open_rows = assemble.transform(rows.filter("not matched and not proved"))
     scored = calibration.transform(trees.transform(open_rows).select("_at", "start", "end", "kind", score))
-    return (
-        scored.filter(F.col("prediction") >= CHANCE)
-        .groupBy("_at")
-        .agg(F.collect_list(F.struct(F.negate("score").alias("score"), "start", F.negate("end").alias("till"), "kind")).alias("c"))
-        .select("_at", _without_overlaps(F.sort_array("c")).alias("added"))
-    )
+    return _chosen(proved.unionByName(scored.filter(F.col("prediction") >= CHANCE).drop("prediction")))
+
+
+def _chosen(spans: DataFrame) -> DataFrame:
+    """``_at`` and the spans of each row without overlaps, the best score first."""
+    best_first = F.sort_array(F.collect_list(F.struct(F.negate("score").alias("score"), "start", F.negate("end").alias("till"), "kind")))
+    return spans.groupBy("_at").agg(best_first.alias("c")).select("_at", _without_overlaps(F.col("c")).alias("added"))
 
 
 def _without_overlaps(best_first: Column) -> Column:

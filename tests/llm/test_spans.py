@@ -135,3 +135,24 @@ def test_without_labels_nothing_is_added(documents, staging):
 def test_personal_data_is_redacted(documents, staging):
     found = pii.redacted(documents([(1, "to a@b.cd!"), (2, None)]), staging).collect()
     assert {r.doc_id: r.text for r in found} == {1: "to [PII]!", 2: None}
+
+
+def test_evidence_beyond_the_forms_is_found(documents, staging):
+    texts = [
+        "write to jane.doe (at) example (dot) org today", "IBAN DE89 3704 0044 0532 0130 00.", "IBAN DE88 3704 0044 0532 0130 00.",
+        "at 00:1A:2b:3c:4d:5e now", "2001:db8:0:0:0:0:0:1", "at 12:30:45:99 now", "me @ host . 12",
+    ]
+    found = pii.with_spans(documents(list(enumerate(texts))), staging).collect()
+    spans = {r.doc_id: [(s.kind, texts[r.doc_id][s.start : s.end]) for s in r.spans] for r in found}
+    assert spans[0] == [("contact", "jane.doe (at) example (dot) org")]
+    assert spans[1] == [("account", "DE89 3704 0044 0532 0130 00")]
+    assert spans[3] == [("address", "00:1A:2b:3c:4d:5e")] and spans[4] == [("address", "2001:db8:0:0:0:0:0:1")]
+    assert spans[2] == spans[5] == spans[6] == []
+
+
+def test_trees_learn_national_phones(documents, staging):
+    rng = random.Random(6)
+    phone = lambda: f"{rng.randint(200, 999)}-{rng.randint(200, 999)}-{rng.randint(1000, 9999)}"
+    rows = [(k, f"call {phone()} now" if k % 2 else f"build {rng.randint(10**6, 10**9)} done") for k in range(800)]
+    found = pii.with_spans(documents(rows), staging).collect()
+    assert all([s.kind for s in r.spans] == (["number"] if r.doc_id % 2 else []) for r in found)
