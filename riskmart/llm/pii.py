@@ -1,14 +1,15 @@
 """Personal data: fixed forms, and boosted trees over candidate spans.
 
 High-recall generators propose spans that may overlap: address-like, number-like, dotted or coloned groups,
-account-like. Each gets features of its format and of the characters around it. Gradient-boosted
+account-like. Of a run of numbers or of an account's groups, each group and neighbouring groups of the size of a phone, a card or an
+account are proposed besides the whole. Each gets features of its format and of the characters around it. Gradient-boosted
 trees learn on a bounded sample (``SAMPLE`` candidates, the smallest by a hash over all of them) which
 candidates evidence of their own confirms: an address that has the email form once its "(at)" and "(dot)" are
 read, an IBAN's remainder by 97, address groups that parse, a valid card number, an international number or a national
 phone plan with the grouping or the words of a phone. What a check tests and the features do not see (check
 digits, ranges) makes the rest hard negatives. What only overlaps a fixed form is no label either way. Scores are calibrated
 by isotonic regression on a held-out quarter of the sample. Redacted too are candidates whose check is all but a
-proof (all of these but phone plans), and those whose calibrated chance reaches ``CHANCE``, unless they
+proof (all of these but phones and cards in odd groups), and those whose calibrated chance reaches ``CHANCE``, unless they
 overlap a fixed form, which always stays, or a candidate that is proved or has a better chance.
 
 Everything is DataFrame expressions and Spark's own trees. Texts are read once; later
@@ -46,8 +47,14 @@ GENERATORS = {
     "contact": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]{1,63}+(?:(?:\.|\x20?\(dot\)\x20?|\x20?\[dot\]\x20?)[A-Za-z0-9-]{1,63}+)++",
     "number": r"(?<![0-9])[+(]?[0-9](?:[\x20()./-]{0,2}+[0-9]){6,}+",
     "address": r"(?<![0-9A-Fa-f.:])(?:[0-9]{1,5}(?:\.[0-9]{1,5}){3}|(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}(?!:?[0-9A-Fa-f]))(?![0-9A-Fa-f])",
-    "account": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){10,30}+",
+    "account": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){10,}+",
 }
+# Parts of a run that are proposed too: a group, how a first group begins, what does not count, and the counted characters.
+PARTS = {
+    "number": (r"[+(]?[0-9]+", "^", "[^0-9]", 8, 19),
+    "account": (r"[A-Z0-9]+", "^[A-Z]{2}[0-9]{2}", r"\x20", 15, 34),
+}
+LONGEST_PART = 80  # code points of a part, at most: 34 characters with a space each, 19 digits with separators
 AROUND = 24  # code points of context before a candidate
 CONTEXT = [
     r"mail|contact|write to|schreib|correo|courriel",
@@ -62,6 +69,7 @@ CHANCE = 0.9
 ADDRESS = r"^[A-Za-z0-9_](?:[A-Za-z0-9_%+-]|\.(?!\.))*+(?<!\.)@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}$"
 GROUPS = r"^(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{2}:){5}[0-9A-Fa-f]{2})$"
 IBAN = r"^[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}$"
+CARD_GROUPS = r"^(?:[0-9]{16,19}|[0-9]{4}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{1,3})?)$"
 # National numbers as digits: North America; Great Britain and Germany, France with the trunk zero; Spain.
 NATIONAL = r"^(?:1?[2-9][0-9]{2}[2-9][0-9]{6}|0[1-9][0-9]{7,10}|[6-9][0-9]{8}|00[1-9][0-9]{7,12})$"
 GROUPED = r"^(?:\(|0[0-9]*[\x20./-]|(?:1[\x20.-])?[0-9]{3}[\x20.-][0-9]{3}[\x20.-][0-9]{3,4}$)"
@@ -124,7 +132,7 @@ def evidence(span: Column, kind: str, features: Column) -> Column:
     abroad = string.rlike(r"^\+[1-9]") & F.char_length(number).between(8, 15)
     spoken = features[N_FEATURES - len(CONTEXT) + 1] > 0
     national = number.rlike(NATIONAL) & (spoken | string.rlike(GROUPED))
-    return F.when(card, 2).when(abroad | national, 1).otherwise(0)
+    return F.when(card & string.rlike(CARD_GROUPS), 2).when(card | abroad | national, 1).otherwise(0)
 
 
 def remainder(account: Column) -> Column:
@@ -138,21 +146,65 @@ def remainder(account: Column) -> Column:
     return F.aggregate(F.filter(moved, lambda c: c != ""), F.lit(0), step)
 
 
+def parts(text: Column, run: Column, kind: str) -> Column:
+    """Groups of a run and neighbouring groups of the wanted size, but not the whole run: (around, span in it, how far it was moved).
+
+    A group's surroundings are cut out once, so a part costs no more in a long run.
+    """
+    group, begin, uncounted, low, high = PARTS[kind]
+
+    def window(groups: Column) -> Column:
+        origin = F.greatest(run["start"] - AROUND, F.lit(0))
+        return let(F.substring(text, origin + 1, run["end"] - origin + 1), lambda seen: placed(groups, seen, origin))
+
+    def placed(groups: Column, seen: Column, origin: Column) -> Column:
+        def of_first(g: Column, i: Column) -> Column:
+            at = run["start"] - origin + g["start"]
+            moved = F.greatest(at - AROUND, F.lit(0))
+            near = F.struct(
+                F.substring(seen, moved + 1, F.lit(AROUND + LONGEST_PART + 1)).alias("around"), (origin + moved).alias("moved"), (at - moved).alias("at")
+            )
+            return let(near, lambda x: ending(g, i, x))
+
+        def ending(g: Column, i: Column, x: Column) -> Column:
+            def span(last: Column) -> Column:
+                size = last["end"] - g["start"]
+                return F.struct(x["at"].alias("start"), (x["at"] + size).alias("end"), F.substring(x["around"], x["at"] + 1, size).alias("text"))
+
+            near = F.filter(F.slice(groups, i + 1, high), lambda last: last["end"] - g["start"] <= LONGEST_PART)
+            near = F.filter(near, lambda last: (g["start"] > 0) | (last["end"] < run["end"] - run["start"]))
+            sized = F.filter(F.transform(near, span), lambda s: F.char_length(F.regexp_replace(s["text"], uncounted, "")).between(low, high))
+            return F.transform(sized, lambda s: F.struct(x["around"].alias("around"), s.alias("span"), x["moved"].alias("moved")))
+
+        found = F.transform(groups, lambda g, i: F.when(g["text"].rlike(begin), of_first(g, i)))
+        return F.flatten(F.filter(found, lambda f: f.isNotNull()))
+
+    return let(matches(run["text"], group), window)
+
+
 def candidates(text: Column) -> Column:
     """All proposals as (start, end, kind, features, evidence)."""
     def proposed(i: int, kind: str, pattern: str) -> Column:
-        def described(s: Column) -> Column:
+        def described(around: Column, s: Column, moved: Column) -> Column:
             return let(
-                features(text, s, i),
+                features(around, s, i),
                 lambda known: F.struct(
-                    s["start"].alias("start"), s["end"].alias("end"), F.lit(kind).alias("kind"), known.alias("features"),
-                    evidence(s, kind, known).alias("evidence"),
+                    (s["start"] + moved).alias("start"), (s["end"] + moved).alias("end"), F.lit(kind).alias("kind"),
+                    known.alias("features"), evidence(s, kind, known).alias("evidence"),
                 ),
             )
 
-        return F.transform(matches(text, pattern), described)
+        def every(runs: Column) -> Column:
+            whole = F.transform(runs, lambda s: described(text, s, F.lit(0)))
+            if kind not in PARTS:
+                return whole
+            part = lambda p: described(p["around"], p["span"], p["moved"])
+            return F.concat(whole, F.transform(F.flatten(F.transform(runs, lambda s: parts(text, s, kind))), part))
+
+        return F.when(F.rlike(text, F.lit(pattern)), let(matches(text, pattern), every))
 
-    return F.concat(*[proposed(i, kind, pattern) for i, (kind, pattern) in enumerate(GENERATORS.items())])
+    none = F.array().cast("array<struct<start:int,end:int,kind:string,features:array<double>,evidence:int>>")
+    return F.concat(*[F.coalesce(proposed(i, kind, pattern), none) for i, (kind, pattern) in enumerate(GENERATORS.items())])
 
 
 def found(docs: DataFrame, staging: Staging, keep: list[str]) -> DataFrame:

@@ -156,3 +156,20 @@ def test_trees_learn_national_phones(documents, staging):
     rows = [(k, f"call {phone()} now" if k % 2 else f"build {rng.randint(10**6, 10**9)} done") for k in range(800)]
     found = pii.with_spans(documents(rows), staging).collect()
     assert all([s.kind for s in r.spans] == (["number"] if r.doc_id % 2 else []) for r in found)
+
+
+def test_parts_of_long_runs_are_proposed(documents, staging):
+    texts = [
+        "7536784127813050 4845168114407329", "é 2353820953013749 4550997810720808 x", "IBAN DE89 3704 0044 0532 0130 00 THE END",
+        "1 " * 5000, "x" * 30 + " 1234567 4845 1681 1440 7329 12345",
+    ]
+    text = F.col("text")
+    rows = documents(list(enumerate(texts)))
+    for r in rows.select("doc_id", pii.candidates(text).alias("c")).collect():
+        for c in r.c:
+            piece = texts[r.doc_id][c.start : c.end]
+            assert piece == piece.strip() and c.features[1] == len(piece) and c.features[2] == len(re.sub("[^0-9]", "", piece))
+    found = pii.with_spans(rows, staging).collect()
+    spans = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.spans] for r in found}
+    assert spans[0] == texts[0].split(" ") and spans[1] == ["4550997810720808"]
+    assert spans[2] == ["DE89 3704 0044 0532 0130 00"] and spans[4] == ["4845 1681 1440 7329"]
