@@ -8,7 +8,7 @@ candidates evidence of their own confirms: an address that has the email form on
 read, an IBAN's remainder by 97, address groups that parse, a valid card number, an international number or a national
 phone plan with the grouping or the words of a phone. What a check tests and the features do not see (check
 digits, ranges) makes the rest hard negatives. What only overlaps a fixed form is no label either way. Scores are calibrated
-by isotonic regression on a held-out quarter of the sample. Redacted too are candidates whose check is all but a
+by isotonic regression on the whole sample, each quarter scored by trees fitted to the others. Redacted too are candidates whose check is all but a
 proof (all of these but phones and cards in odd groups), and those whose calibrated chance reaches ``CHANCE``, unless they
 overlap a fixed form, which always stays, or a candidate that is proved or has a better chance.
 
@@ -16,8 +16,8 @@ Everything is DataFrame expressions and Spark's own trees. Texts are read once;
 passes see only spans.
 
 Defined results: a null or empty text has no spans; a null doc_id and repeated rows stay as they are, one
-result each; ties between overlapping candidates go to the earlier start, then the longer span; with a sample without
-both kinds of candidates, or with fewer than ``LEAST`` held out, the trees add nothing; an empty table
+result each; ties between overlapping candidates go to the earlier start, then the longer span; without candidates of both labels
+the trees add nothing; an empty table
 gives no rows; columns named ``base`` or ``spans`` are replaced, other extra columns are kept.
 """
 
@@ -63,7 +63,7 @@ CONTEXT = [
     r"\bip\b|host|server|addr|login|router|dns",
     r"[$%#|=:\"]\W*$",
 ]
-SAMPLE, HELD_OUT, LEAST = 20_000, 4, 50
+SAMPLE, FOLDS = 20_000, 4
 TREES, DEPTH = 10, 3
 CHANCE = 0.9
 ADDRESS = r"^[A-Za-z0-9_](?:[A-Za-z0-9_%+-]|\.(?!\.))*+(?<!\.)@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}$"
@@ -236,27 +236,40 @@ def added_spans(spans: DataFrame) -> DataFrame:
     )
     assemble = VectorAssembler(inputCols=[f"f{i}" for i in range(N_FEATURES)], outputCol="features")
     order = F.xxhash64(F.lit(SEED), "start", "end", "kind", *[f"f{i}" for i in range(N_FEATURES)], "_at")
-    sample = checkpointed(
-        assemble.transform(rows.filter("label is not null").withColumn("order", order).orderBy("order", "_at").limit(SAMPLE))
-        .select("features", "label", (F.pmod("order", F.lit(HELD_OUT)) == 0).alias("held"))
-        .coalesce(1)
-    )
+    picked = rows.filter("label is not null").withColumn("order", order).orderBy("order", "_at").limit(SAMPLE)
+    # The sample is bounded, and so is a label's share of it.
+    fold = (F.row_number().over(W.partitionBy("label").orderBy("order", "_at")) - 1) % FOLDS
+    sample = checkpointed(assemble.transform(picked.withColumn("fold", fold)).select("features", "label", "fold").coalesce(1))
     proved = rows.filter("proved and not matched").select("_at", "start", "end", "kind", F.lit(2.0).alias("score"))
-    sizes = sample.agg(
-        F.count(F.when(~F.col("held") & (F.col("label") == 1), 1)).alias("yes"),
-        F.count(F.when(~F.col("held") & (F.col("label") == 0), 1)).alias("no"),
-        F.count(F.when(F.col("held"), 1)).alias("held"),
-    ).first()
-    if not sizes["yes"] or not sizes["no"] or sizes["held"] < LEAST:
+    if sample.select("label").distinct().count() < 2:
         return _chosen(proved)
-    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=SEED).fit(sample.filter("not held"))
     score = vector_to_array("probability")[1].alias("score")
-    calibration = IsotonicRegression(featuresCol="score").fit(trees.transform(sample.filter("held")).select("label", score))
+    calibration = IsotonicRegression(featuresCol="score").fit(_held_out_scores(sample, score))
+    trees = _trees(sample)
     open_rows = assemble.transform(rows.filter("not matched and not proved"))
     scored = calibration.transform(trees.transform(open_rows).select("_at", "start", "end", "kind", score))
     return _chosen(proved.unionByName(scored.filter(F.col("prediction") >= CHANCE).drop("prediction")))
 
 
+def _trees(sample: DataFrame):
+    return GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=SEED).fit(sample)
+
+
+def _held_out_scores(sample: DataFrame, score: Column) -> DataFrame:
+    """``label, score`` of every row by trees that have not seen its fold; without both labels to learn from, the score is the one there is."""
+    sizes = {(r["fold"], r["label"]): r["count"] for r in sample.groupBy("fold", "label").count().collect()}
+    parts = []
+    for fold in sorted({f for f, _ in sizes}):
+        labels = {label for f, label in sizes if f != fold}
+        held, rest = sample.filter(F.col("fold") == fold), sample.filter(F.col("fold") != fold)
+        known = F.lit(sum(labels) / len(labels) if labels else 0.5)
+        parts.append(_trees(rest).transform(held).select("label", score) if len(labels) == 2 else held.select("label", known.alias("score")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionAll(part)
+    return out
+
+
 def _chosen(spans: DataFrame) -> DataFrame:
     """``_at`` and the spans of each row without overlaps, the best score first."""
     best_first = F.sort_array(F.collect_list(F.struct(F.negate("score").alias("score"), "start", F.negate("end").alias("till"), "kind")))

@@ -173,3 +173,9 @@ def test_parts_of_long_runs_are_proposed(documents, staging):
     spans = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.spans] for r in found}
     assert spans[0] == texts[0].split(" ") and spans[1] == ["4550997810720808"]
     assert spans[2] == ["DE89 3704 0044 0532 0130 00"] and spans[4] == ["4845 1681 1440 7329"]
+
+
+def test_trees_give_a_verdict_on_small_tables(documents, staging):
+    found = pii.with_spans(documents([*labelled(90), (9000, "pay by card 4111111111111112 now")]), staging).collect()
+    by_id = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in found}
+    assert by_id[9000] == [("number", 12, 28)] and by_id[0] == [] and by_id[1] == [("card", 12, 28)]
