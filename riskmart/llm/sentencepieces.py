@@ -19,6 +19,7 @@ they are; low bars in a text are read as spaces; ids outside the vocabulary deco
 byte sequences to replacement characters; an empty table gives no rows; other columns are not read.
 """
 
+import hashlib
 import zlib
 from dataclasses import dataclass
 from functools import lru_cache
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 
 from riskmart.llm import words as w
 from riskmart.llm.registry import query, table
+from riskmart.sources.scratch import Staging
 
 BAR = "▁"
 BLOCK_BYTES = 64 << 20
@@ -172,8 +174,8 @@ def best_path(edges: Column, longest: int) -> Column:
     return F.aggregate(edges, start, fold, done)
 
 
-def encode(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``doc_id, ids, score`` of every text."""
+def encode(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES, source: bool = False) -> DataFrame:
+    """``doc_id, ids, score`` of every text, and with ``source`` the ``source_sha256`` of the text with low bars as spaces."""
     m = model(path)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = int(max(1, -(-total // block_bytes)))
@@ -215,10 +217,14 @@ def encode(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -> DataFr
             sums = np.concatenate([[0.0], np.cumsum(scores[at])])
             ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat[w.spans(begins[at], counts)], pa.int32()))
             total_score = sums[cut.rows[1:]] - sums[cut.rows[:-1]]
-            out.append(pa.table({"doc_id": batch.column("doc_id").cast(pa.int64()), "ids": ids, "score": pa.array(total_score)}))
+            columns = {"doc_id": batch.column("doc_id").cast(pa.int64()), "ids": ids, "score": pa.array(total_score)}
+            if source:
+                texts = (t.as_py().replace(BAR, " ") for t in batch.column("text"))
+                columns["source_sha256"] = pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string())
+            out.append(pa.table(columns))
         return pa.concat_tables(out)
 
-    return texts.groupBy("block").cogroup(solved.groupBy("block")).applyInArrow(assemble, ENCODED)
+    return texts.groupBy("block").cogroup(solved.groupBy("block")).applyInArrow(assemble, ENCODED + (", source_sha256 string" if source else ""))
 
 
 def paths(known: pa.Table, m: Model) -> tuple[np.ndarray, ...]:
@@ -262,8 +268,9 @@ def bytes_of(character: str, m: Model) -> list[int]:
     return [m.byte_ids[b] for b in character.encode()]
 
 
-def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """``doc_id, text`` of rows with ``doc_id, ids``: pieces joined, low bars as spaces, without the first space."""
+def decode(encoded: DataFrame, path: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, text`` of rows with ``doc_id, ids``: pieces joined, low bars as spaces, without the first space; and the columns ``keep``."""
+    names = ["doc_id", "text", *keep]
     def join(batches):
         m = model(path)
         byte_of = {i: bytes([b]) for b, i in enumerate(m.byte_ids)}
@@ -281,13 +288,18 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             ends = np.concatenate([[0], np.cumsum(sizes[ids])])[rows].tolist()
             texts = [out[a:b].decode(errors="replace") for a, b in zip(ends, ends[1:])]
             texts = [t[1:] if t.startswith(" ") else t for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
+            kept = [batch.column(c) for c in keep]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(texts, pa.string()), *kept], names)
 
-    return encoded.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids")).mapInArrow(join, "doc_id long, text string")
+    ids = F.coalesce("ids", F.array().cast("array<int>")).alias("ids")
+    rows = encoded.select("doc_id", ids, *[c for c in keep if c != "ids"])
+    types = dict(rows.dtypes)
+    return rows.mapInArrow(join, ", ".join(["doc_id long", "text string", *[f"{c} {types[c]}" for c in keep]]))
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """``doc_id, n_pieces, ids_crc32, score``: of the ids as little-endian unsigned 32-bit numbers."""
+def digests(encoded: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, n_pieces, ids_crc32, score``: of the ids as little-endian unsigned 32-bit numbers; and the columns ``keep``."""
+    names, types = ["doc_id", "n_pieces", "ids_crc32", "score", *keep], dict(encoded.dtypes)
     def digest(batches):
         for batch in batches:
             lists = batch.column("ids")
@@ -295,15 +307,23 @@ def digests(encoded: DataFrame) -> DataFrame:
             raw = memoryview(lists.values.to_numpy().astype("<u4")).cast("B")
             crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(rows[:-1].tolist(), rows[1:].tolist())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.diff(rows).astype(np.int64)), pa.array(crc, pa.int64()), batch.column("score")],
-                ["doc_id", "n_pieces", "ids_crc32", "score"],
+                [batch.column("doc_id"), pa.array(np.diff(rows).astype(np.int64)), pa.array(crc, pa.int64()), batch.column("score"), *[batch.column(c) for c in keep]],
+                names,
             )
 
-    return encoded.mapInArrow(digest, "doc_id long, n_pieces long, ids_crc32 long, score double")
+    return encoded.mapInArrow(digest, ", ".join(["doc_id long, n_pieces long, ids_crc32 long, score double", *[f"{c} {types[c]}" for c in keep]]))
+
+
+def round_trip(docs: DataFrame, path: str, staging: Staging) -> DataFrame:
+    """``digests`` of every text, with ``decoded_sha256`` of the text decoded again and whether it is the text with low bars as spaces."""
+    encoded = staging.table(encode(docs, path, source=True), "encoded")
+    decoded = decode(encoded, path, ("ids", "score", "source_sha256")).withColumn("decoded_sha256", F.sha2("text", 256))
+    decoded = decoded.select("doc_id", "ids", "score", "decoded_sha256", (F.col("decoded_sha256") == F.col("source_sha256")).alias("round_trip"))
+    return digests(decoded, ("decoded_sha256", "round_trip"))
 
 
 @query("op2_sentencepieces")
 def op2_sentencepieces(spark, sf_dir):
     import public_tokenizers
 
-    return digests(encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")))
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), Staging(spark))

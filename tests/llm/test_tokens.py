@@ -1,5 +1,6 @@
 """Token counts, packing and the lattice against the libraries themselves."""
 
+import hashlib
 import re
 import struct
 import zlib
@@ -149,3 +150,14 @@ def test_odd_texts_round_trip_with_the_best_score(documents):
 def test_decoding_of_foreign_ids(spark):
     table = spark.createDataFrame([(1, [-5, 99999, 0, 1]), (2, None), (3, [3 + 0xFF])], "doc_id long, ids array<int>")
     assert dict(sentencepieces.decode(table, MODEL).collect()) == {1: "", 2: "", 3: "�"}
+
+
+def test_the_query_decodes_what_it_encodes(documents, spark, staging):
+    texts = [*TRICKY, None, "", "low ▁ bar", "twice", "twice"]
+    digest = lambda t: hashlib.sha256((t or "").replace("▁", " ").encode()).hexdigest()
+    found = sentencepieces.round_trip(documents(list(enumerate(texts)) + [(None, "no id")]), MODEL, staging).collect()
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.decoded_sha256, r.round_trip) for r in found) == sorted(
+        [(k, digest(t), True) for k, t in enumerate(texts)] + [(-1, digest("no id"), True)]
+    )
+    rows = sentencepieces.op2_sentencepieces(spark, "/root/testdata/sf0.001").collect()
+    assert rows and all(r.round_trip for r in rows)
