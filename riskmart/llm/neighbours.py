@@ -11,13 +11,15 @@ and queries get zero there. Equal vectors are one entry of the index, with the s
 query could want, so any number of copies fills one place. Queries and index blocks meet in pairs of blocks of
 bounded size.
 
-Defined results: vectors that are null, zero, hold a null or a non-finite component, or are shorter than the longest
-vectors take no part, neither do rows without an id; rows equal in id and vector count once, and no row with the query's id is its neighbour; ties go to the smaller id;
+Defined results: vectors that are null, zero, hold a null or a non-finite component, or are of another width than most
+usable rows (of equally many the smaller width) take no part, neither do rows without an id; how many rows the width leaves out is warned of; rows equal in id and vector count once, and no row with the query's id is its neighbour; ties go to the smaller id;
 with fewer candidates than wanted all are returned; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -70,7 +72,11 @@ def search(
     if not 1 <= pivots <= 256:
         raise ValueError("pivots are numbered by one byte")
     rows = vectors.filter(usable("vector") & F.col("id").isNotNull())
-    width = rows.agg(F.max(F.size("vector"))).first()[0] or 0
+    widths = rows.groupBy(F.size("vector").alias("width")).count()
+    most = widths.agg(F.max(F.struct("count", F.negate("width").alias("width"))).alias("most"), F.sum("count").alias("all")).first()
+    width = -most["most"]["width"] if most["most"] else 0
+    if most["most"] and most["all"] > most["most"]["count"]:
+        warnings.warn(f"{most['all'] - most['most']['count']} vectors are not {width} wide and take no part", stacklevel=2)
     rows = rows.filter(F.size("vector") == width)
     entries = staging.table(distinct_vectors(rows, nearest + 1), "entries")
     size, longest = entries.agg(

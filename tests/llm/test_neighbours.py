@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from riskmart.llm import neighbours
@@ -53,3 +54,10 @@ def test_longer_vectors_win_by_inner_product(spark, staging):
 def test_empty_and_single(spark, staging):
     assert neighbours.search(spark.createDataFrame([], SCHEMA), F.col("id") % 20 == 0, staging).count() == 0
     assert neighbours.search(spark.createDataFrame([(0, [1.0])], SCHEMA), F.col("id") % 20 == 0, staging).count() == 0
+
+
+def test_one_longer_vector_does_not_remove_the_others(spark, staging):
+    rows = [(k, [float(k), 1.0, 2.0]) for k in range(40)] + [(41, [1.0, 1.0, 1.0, 1.0])]
+    with pytest.warns(UserWarning, match="1 vectors are not 3 wide"):
+        found = neighbours.search(spark.createDataFrame(rows, SCHEMA), F.col("id") % 20 == 0, staging).collect()
+    assert {r.query_id for r in found} == {0, 20} and len(found) == 40 and 41 not in {r.vec_id for r in found}
