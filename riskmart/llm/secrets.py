@@ -4,8 +4,8 @@ Candidates are runs of at least a window of letters, digits and ``+/_=-`` that h
 window of 20 characters slides over each; counts of its characters are kept incrementally: one
 count goes up, one goes down, and the sum of n log n changes by these two alone. Windows at or above the threshold
 of the string's character class (hex digits, letters with digits, letters) make a span from the first such window to
-the last. Allow-listed strings (UUIDs, numbers, placeholders, repeated short patterns, paths of plain words) are left alone, and so is what
-touches a span of a fixed form; those always stay.
+the last. Allow-listed strings (UUIDs, numbers, repeated short patterns, paths of plain words) are left alone, and so are spans all
+of whose parts between separators are placeholders. A span of entropy is cut at the ends of a fixed form's; those always stay.
 
 Everything is DataFrame expressions on one row at a time: no shuffle at all.
 
@@ -34,10 +34,13 @@ THRESHOLDS = {"hex": 3.0, "mixed": 3.7, "letters": 4.0}
 ALLOWED = [
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",  # UUID
     r"^[0-9+/_=-]+$",  # numbers
-    r"(?i)example|sample|placeholder|dummy|changeme|redacted|xxxx|0000|1234567",
     r"^(.{1,8})\1+$",  # one short pattern again and again
     r"^/?(?:[A-Za-z]+[/_=-]+)+[A-Za-z]*[0-9]{0,4}$",  # plain words in a path or a name
 ]
+_FILLER = "example|sample|placeholder|dummy|changeme|redacted|xxxx|0000|1234567"
+_PART = "(?:[a-z]{0,12}+1234567[0-9]{0,3}+|[a-z]{0,12}+0{4,}+|[a-z]{1,24}+[0-9]{0,4}+)"
+# Words and fillers alone, with a filler among them; longer strings are none.
+PLACEHOLDER = rf"(?i)^(?=.{{0,128}}(?:{_FILLER}))[+/_=-]*+{_PART}(?:[+/_=-]++{_PART})*+[+/_=-]*+$"
 KINDS = ["assign", "access", "hex", "entropy"]
 LABEL = "[SECRET]"
 
@@ -127,10 +130,17 @@ def entropy_spans(text: Column) -> Column:
     def measured(s: Column) -> Column:
         kind = character_class(s["text"])
         threshold = F.when(kind == "hex", THRESHOLDS["hex"]).when(kind == "mixed", THRESHOLDS["mixed"]).otherwise(THRESHOLDS["letters"])
-        return F.struct(s["start"].alias("at"), entropy_range(s["text"], threshold).alias("range"))
+        return F.struct(s["start"].alias("at"), s["text"].alias("text"), entropy_range(s["text"], threshold).alias("range"))
+
+    def placeholder(s: Column) -> Column:
+        """Whether the parts that hold the windows are words and fillers alone."""
+        first, end = s["range"]["first"], s["range"]["last"] + WINDOW
+        left = F.regexp_extract(F.substring(s["text"], F.lit(1), first), "[^+/_=-]*+$", 0)
+        right = F.regexp_extract(F.substring(s["text"], end + 1, F.char_length(s["text"])), "^[^+/_=-]*+", 0)
+        return F.concat(left, F.substring(s["text"], first + 1, end - first), right).rlike(PLACEHOLDER)
 
     strings = F.filter(matches(text, CANDIDATE), lambda s: ~allowed(s["text"]))
-    found = F.filter(F.transform(strings, measured), lambda s: s["range"]["first"].isNotNull())
+    found = F.filter(F.transform(strings, measured), lambda s: s["range"]["first"].isNotNull() & ~placeholder(s))
     return F.transform(
         found,
         lambda s: F.struct((s["at"] + s["range"]["first"]).alias("start"), (s["at"] + s["range"]["last"] + WINDOW).alias("end")),
@@ -143,13 +153,30 @@ def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     by_kind = [named(s, KINDS[i], i) for i, s in enumerate(base_spans(F.col("_body")))]
     found = docs.select(*kept, body.alias("_body")).select(*kept, F.sort_array(F.concat(*by_kind)).alias("base"), "_body")
-    added = F.filter(
-        named(entropy_spans(F.col("_body")), KINDS[3], 3),
-        lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
-    )
+    added = named(F.flatten(F.transform(entropy_spans(F.col("_body")), lambda s: _cut(F.col("_body"), s))), KINDS[3], 3)
     return found.select(*kept, "base", F.sort_array(F.concat("base", added)).alias("spans"))
 
 
+def _cut(text: Column, span: Column) -> Column:
+    """What is left of a span between the fixed forms, where it holds a letter or digit."""
+    touching = F.filter("base", lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+    kind = "array<struct<start:int,end:int>>"
+
+    def pieces(forms: Column) -> Column:
+        def step(state: Column, b: Column) -> Column:
+            piece = F.array(F.struct(state["at"].alias("start"), b["start"].alias("end")))
+            out = F.when(b["start"] > state["at"], F.concat(state["out"], piece)).otherwise(state["out"])
+            return F.struct(F.greatest(state["at"], b["end"]).alias("at"), out.alias("out"))
+
+        end = F.struct(span["end"].alias("start"), span["end"].alias("end"))
+        closed = F.concat(F.transform(forms, lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"))), F.array(end))
+        start = F.struct(span["start"].alias("at"), F.array().cast(kind).alias("out"))
+        return F.aggregate(closed, start, step, lambda state: state["out"])
+
+    left = F.filter(pieces(touching), lambda p: F.substring(text, p["start"] + 1, p["end"] - p["start"]).rlike("[A-Za-z0-9]"))
+    return F.when(F.size(touching) > 0, left).otherwise(F.array(F.struct(span["start"].alias("start"), span["end"].alias("end"))))
+
+
 def redacted(docs: DataFrame) -> DataFrame:
     """The documents with every secret replaced by a label, and ``n_chars``, if there is one, to match."""
     out = with_spans(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text"))
