@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from riskmart.llm import jaccard, neighbours, packing, pii, quality, secrets, sentencepieces, sharding, substrings, token_counts  # noqa: F401
+from riskmart.llm import (  # noqa: F401
+    fill_in_middle, jaccard, neighbours, packing, pii, quality, secrets, sentencepieces, sharding, substrings, token_counts,
+)
 from riskmart.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
