@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from riskmart.llm import (  # noqa: F401
-    fill_in_middle, jaccard, neighbours, packing, pii, quality, secrets, sentencepieces, sharding, spelling, substrings, token_counts,
+    bottom_k, fill_in_middle, jaccard, neighbours, packing, pii, quality, secrets, sentencepieces, sharding, spelling, substrings, token_counts,
 )
 from riskmart.llm.registry import ORACLES, QUERIES
 
