@@ -1,21 +1,23 @@
 """Near copies by bottom-k sketches of one hash function.
 
-The sketch of a set of shingles is its ``k`` smallest hashes; a set of up to ``k`` shingles is its own sketch.
+The sketch of a set of shingles is its ``k`` smallest hashes. A set of up to ``WHOLE`` shingles is kept whole: it is its own sketch.
 
 1. Texts become sketches where they are read. Texts with equal sets are one class.
 2. Retained values that occur in several classes are counted. Two similar sketches have ``needed`` values in common at least,
    so a class with fewer such values has no partner, and the others post as many of them, rare ones first, as two
-   similar classes must share one of: the inverted lists.
+   similar classes must share one of: the inverted lists. Whole sets are posted for one another, and bottom-k sketches
+   for pairs of which a set is larger.
 3. Every list that holds several components pairs its most central class, that with the fewest values of its own, with
-   the others. This is linear. Links found so join large groups of near copies into one component. Lists
-   that still hold several components then pair all classes across them, in blocks of bounded size.
-4. The union sketch of a pair, the ``k`` smallest of both, estimates its similarity: pairs below ``needed`` go. Pairs of whole sets
-   are settled by it, as it holds them. The others are verified on their full sets, read from the texts again.
+   the others. This is linear. Verified links join large groups of near copies into one component. Lists
+   that still hold several components then pair all classes across them, in blocks of bounded size, where the values
+   left in both from this one on can still reach the overlap.
+4. Pairs are dealt into blocks that hold each set once. There the union sketch of a pair, the ``k`` smallest of both, estimates its
+   similarity, pairs below ``needed`` go, and the others are verified on their full sets, read from the texts.
 
-``needed`` is exact for sets that are their own sketches, and so are all their partners. For larger ones it follows from chance: of
-the ``k`` smallest hashes of a union, at least ``percent`` in 100 on average are common to two sets that are linked. A link is
-lost where fewer than ``needed`` are, which by the binomial distribution has a chance of ``LOSS`` at most, for two sets right at the
-threshold, and far less for more similar ones. Every link that is found is exact, and no other one between components is lost.
+``needed`` is exact between whole sets. For others it follows from chance: of the ``k`` smallest hashes of a union of ``u``
+shingles, the number that both sets have is hypergeometric, and a link is lost where it falls short of ``needed``. That has
+a chance of ``LOSS`` at most for two sets right at the threshold, and far less for more similar ones. Every link that
+is found is exact, and no other one between components is lost.
 
 Sets and shingles are known by 64-bit hashes.
 
@@ -28,6 +30,7 @@ columns are not read. A text is one row of a task whole, so a very long one take
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate, takewhile
 from math import comb
 
 import numpy as np
@@ -43,9 +46,11 @@ from riskmart.operators.joins import skew_join
 from riskmart.sources.scratch import Staging
 
 SHINGLE, PERCENT = 4, 80
-K = 128
+K, WHOLE = 128, 256
 LOSS = 1e-12
+TABLED = 4096  # unions beyond are counted as without end
 BLOCK = 1000  # classes of a list that are paired with as many others at once
+LOAD = 1 << 22  # shingles of the pairs of a block, each counted as often as it is in a pair
 
 
 def hashed(text: DataFrame) -> DataFrame:
@@ -58,8 +63,8 @@ def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array((values ^ np.uint64(1 << 63)).view(np.int64)))
 
 
-def sketches(docs: DataFrame, size: int, k: int) -> DataFrame:
-    """``doc_id, key, n, class, sketch`` of every text: the size of its set, a hash of the set, and its ``k`` smallest hashes."""
+def sketches(docs: DataFrame, size: int, k: int, whole: int) -> DataFrame:
+    """``doc_id, key, n, class, sketch`` of every text: the size of its set, a hash of the set, and its retained hashes in order."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in w.blocks(batches, "body"):
@@ -68,11 +73,12 @@ def sketches(docs: DataFrame, size: int, k: int) -> DataFrame:
             rows = np.concatenate([[0], np.cumsum(n)])
             sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(w.mixed(value))])
             sets = w.mixed(sums[rows[1:]] - sums[rows[:-1]] + n.astype(np.uint64))
-            kept = np.arange(len(row)) - rows[row] < k
+            size_kept = np.where(n <= whole, n, k)
+            kept = np.arange(len(row)) - rows[row] < size_kept[row]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()), batch.column("key"), pa.array(n, pa.int64()),
-                    pa.array(sets.view(np.int64)), _lists(value[kept], np.minimum(n, k)),
+                    pa.array(sets.view(np.int64)), _lists(value[kept], size_kept),
                 ],
                 ["doc_id", "key", "n", "class", "sketch"],
             )
@@ -80,38 +86,63 @@ def sketches(docs: DataFrame, size: int, k: int) -> DataFrame:
     return hashed(docs).mapInArrow(sketch, "doc_id long, key long, n long, class long, sketch array<long>")
 
 
-def common_at_least(k: int, percent: int) -> int:
-    """The largest number that the values common to two linked sets, among the ``k`` smallest of their union, fall short of by a chance of ``LOSS`` at most."""
-    p, chance, c = percent / 100, 0.0, 0
-    while c < k and (chance := chance + comb(k, c) * p**c * (1 - p) ** (k - c)) <= LOSS:
-        c += 1
-    return max(1, c)
+def common_at_least(union: int | None, k: int, percent: int) -> int:
+    """Of the ``k`` smallest of a union, how many two linked sets have in common but for a chance of ``LOSS``; at least 1.
+
+    None is a union without end.
+    """
+    if union is None:
+        chances = (comb(k, x) * (percent / 100) ** x * (1 - percent / 100) ** (k - x) for x in range(k))
+    else:
+        both = percent * union // 100  # never a larger share than the threshold, so a bound for a union holds for smaller ones
+        chances = (comb(both, x) * comb(union - both, k - x) / comb(union, k) for x in range(k))
+    sums = accumulate(chances)
+    return max(1, sum(1 for _ in takewhile(lambda chance: chance <= LOSS, sums)))
 
 
 def needed(n: Column, k: int, percent: int) -> Column:
-    """How many retained values a set of ``n`` has in common with the sketch of any that it is linked with."""
-    whole = F.ceil(n * percent / 100).cast("int")
-    return F.when(100 * n <= percent * k, whole).otherwise(F.least(whole, F.lit(common_at_least(k, percent))))
-
-
-def inverted(classes: DataFrame, staging: Staging, k: int, percent: int) -> DataFrame:
-    """(value, entry) of the stored lists: classes that have partners, under the values of which partners share one."""
-    posts = classes.select("class", F.explode("sketch").alias("value"))
-    often = staging.table(posts.groupBy("value").agg(F.count("*").alias("often")).filter("often > 1"), "often")
-    shared = skew_join(posts, often, ["value"]).groupBy("class").agg(F.sort_array(F.collect_list(F.struct("often", "value"))).alias("values"))
-    sized = shared.join(classes.select("class", "n"), "class").withColumn("needed", needed(F.col("n"), k, percent))
-    sized = sized.withColumn("shared", F.size("values")).filter("shared >= needed")
-    posted = sized.select("class", "n", "needed", "shared", F.posexplode(F.expr("slice(values, 1, shared - needed + 1)")).alias("place", "v"))
-    entry = F.struct(
-        (F.least("n", F.lit(k)) - F.col("shared")).alias("own"), "class", "n", "needed", (F.col("shared") - F.col("place")).alias("left")
+    """How many of its ``k`` smallest a set of ``n`` has in common with those of any that it is linked with: the union has 100 / percent times as many."""
+    unions = range(k, TABLED, 16)  # the end of a step holds for all of it
+    table_ = F.array(*[F.lit(common_at_least(union + 16, k, percent)) for union in unions])
+    step = F.floor((n * 100 / percent - k) / 16).cast("int") + 1
+    return F.coalesce(F.try_element_at(table_, F.greatest(step, F.lit(1))), F.lit(common_at_least(None, k, percent)))
+
+
+def is_bottom() -> Column:
+    """Whether a list holds bottom-k sketches."""
+    return F.col("list").bitwiseAND(F.lit(1).cast("long")) == 1
+
+
+def inverted(classes: DataFrame, staging: Staging, k: int, whole: int, percent: int) -> DataFrame:
+    """(list, entry) of the stored lists: classes that have partners, under the values of which partners share one.
+
+    A list is a value, and in its last bit whether it is one of bottom-k sketches or of whole sets.
+    """
+    kinds = F.array(
+        F.when(F.col("n") <= whole, F.struct(F.lit(0).alias("kind"), F.col("sketch").alias("values"))),
+        F.when(100 * F.col("n") > percent * whole, F.struct(F.lit(1).alias("kind"), F.slice("sketch", 1, k).alias("values"))),
     )
-    return staging.table(posted.select(F.col("v.value").alias("value"), entry.alias("entry")), "lists")
+    each = classes.select("class", F.explode(kinds).alias("of")).filter("of IS NOT NULL").select("class", "of.kind", F.explode("of.values").alias("value"))
+    posts = each.select("class", F.shiftleft("value", 1).bitwiseOR(F.col("kind").cast("long")).alias("list"))
+    often = staging.table(posts.groupBy("list").agg(F.count("*").alias("often")).filter("often > 1"), "often")
+    shared = skew_join(posts, often, ["list"]).select("class", is_bottom().alias("bottom"), F.struct("often", "list").alias("value"))
+    shared = shared.groupBy("class", "bottom").agg(F.sort_array(F.collect_list("value")).alias("values"))
+    sized = shared.join(classes.select("class", "n"), "class").withColumn("shared", F.size("values"))
+    is_whole = ~F.col("bottom")
+    least = F.when(is_whole, F.ceil(F.col("n") * percent / 100).cast("int")).otherwise(needed(F.col("n"), k, percent))
+    sized = sized.withColumn("needed", least).filter("shared >= needed")
+    kept = F.when(is_whole, F.col("n")).otherwise(F.lit(k))
+    posted = sized.select("class", "n", "needed", "shared", kept.alias("kept"), F.posexplode(F.expr("slice(values, 1, shared - needed + 1)")).alias("place", "v"))
+    entry = F.struct((F.col("kept") - F.col("shared")).alias("own"), "class", "n", "needed", (F.col("shared") - F.col("place")).alias("left"))
+    return staging.table(posted.select(F.col("v.list").alias("list"), entry.alias("entry")), "lists")
 
 
 def may_meet(a: str, b: str, percent: int) -> Column:
     """Whether two entries of a list can be linked with its value as their first common one."""
     a_n, b_n, left = F.col(f"{a}.n"), F.col(f"{b}.n"), F.least(f"{a}.left", f"{b}.left")
-    return (100 * a_n >= percent * b_n) & (100 * b_n >= percent * a_n) & (left >= F.greatest(f"{a}.needed", f"{b}.needed"))
+    exact = (100 + percent) * left >= percent * (a_n + b_n)
+    enough = F.when(is_bottom(), left >= F.greatest(f"{a}.needed", f"{b}.needed")).otherwise(exact)
+    return (100 * a_n >= percent * b_n) & (100 * b_n >= percent * a_n) & enough
 
 
 def placed(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -120,23 +151,27 @@ def placed(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
         return lists.withColumn("component", F.col("entry.class"))
     known = labels.withColumnRenamed("node", "class")
     return lists.withColumn("class", F.col("entry.class")).join(known, "class", "left").select(
-        "value", "entry", F.coalesce("component", "class").alias("component")
+        "list", "entry", F.coalesce("component", "class").alias("component")
     )
 
 
-def overlapping(pairs: DataFrame) -> DataFrame:
-    """Each pair (a, b), a < b, once, with the number of lists it met in."""
-    return pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("met"))
+def overlapping(met: DataFrame, a: str, b: str) -> DataFrame:
+    """``a, b, a_n, b_n, list`` of each pair of entries once, a < b, with one of the lists it met in."""
+    first = F.col(f"{a}.class") < F.col(f"{b}.class")
+    low, high = (F.when(first, F.col(x)).otherwise(F.col(y)) for x, y in ((a, b), (b, a)))
+    pairs = met.select("list", low.alias("low"), high.alias("high"))
+    pairs = pairs.select("list", F.col("low.class").alias("a"), F.col("high.class").alias("b"), F.col("low.n").alias("a_n"), F.col("high.n").alias("b_n"))
+    return pairs.groupBy("a", "b", "a_n", "b_n").agg(F.min("list").alias("list"))
 
 
 def with_central(lists: DataFrame, percent: int) -> DataFrame:
     """In every list of several components, its most central class with those of the others."""
-    heads = lists.groupBy("value").agg(
+    heads = lists.groupBy("list").agg(
         F.min(F.struct("entry", "component")).alias("head"), F.min("component").alias("low"), F.max("component").alias("high")
     )
-    heads = heads.filter("low != high").select("value", F.col("head.entry").alias("middle"), F.col("head.component").alias("inside"))
-    met = lists.join(heads, "value").filter((F.col("component") != F.col("inside")) & may_meet("middle", "entry", percent))
-    return overlapping(met.select(F.col("middle.class").alias("a"), F.col("entry.class").alias("b")))
+    heads = heads.filter("low != high").select("list", F.col("head.entry").alias("middle"), F.col("head.component").alias("inside"))
+    met = lists.join(heads, "list").filter((F.col("component") != F.col("inside")) & may_meet("middle", "entry", percent))
+    return overlapping(met, "middle", "entry")
 
 
 def across(lists: DataFrame, staging: Staging, percent: int, block: int = BLOCK) -> DataFrame:
@@ -145,37 +180,19 @@ def across(lists: DataFrame, staging: Staging, percent: int, block: int = BLOCK)
     A list is dealt over blocks of about ``block`` entries by a hash, and a pair of blocks is a key of the join, so a task holds a few
     blocks, however long the list.
     """
-    mixed = lists.groupBy("value").agg(F.count("*").alias("entries"), F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed = staging.table(mixed.filter("low != high").select("value", F.ceil(F.col("entries") / block).alias("blocks")), "mixed")
-    dealt = lists.join(mixed, "value").withColumn("own", F.pmod(F.xxhash64("entry.class"), F.col("blocks")))
+    mixed = lists.groupBy("list").agg(F.count("*").alias("entries"), F.min("component").alias("low"), F.max("component").alias("high"))
+    mixed = staging.table(mixed.filter("low != high").select("list", F.ceil(F.col("entries") / block).alias("blocks")), "mixed")
+    dealt = lists.join(mixed, "list").withColumn("own", F.pmod(F.xxhash64("entry.class"), F.col("blocks")))
     # Under (x, y), x <= y, the block x is on the left, and y on the right.
-    sides = [
-        dealt.select("value", F.col("entry").alias("a"), F.col("component").alias("a_in"), F.col("own").alias("x"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("y")),
-        dealt.select("value", F.col("entry").alias("b"), F.col("component").alias("b_in"), F.explode(F.sequence(F.lit(0).cast("long"), "own")).alias("x"), F.col("own").alias("y")),
-    ]
+    left = dealt.select("list", F.col("entry").alias("a"), F.col("component").alias("a_in"), F.col("own").alias("x"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("y"))
+    right = dealt.select("list", F.col("entry").alias("b"), F.col("component").alias("b_in"), F.explode(F.sequence(F.lit(0).cast("long"), "own")).alias("x"), F.col("own").alias("y"))
     once = (F.col("x") < F.col("y")) | (F.col("a.class") < F.col("b.class"))
-    met = sides[0].join(sides[1], ["value", "x", "y"]).filter(once & (F.col("a_in") != F.col("b_in")) & may_meet("a", "b", percent))
-    return overlapping(met.select(F.col("a.class").alias("a"), F.col("b.class").alias("b")))
-
+    met = left.join(right, ["list", "x", "y"]).filter(once & (F.col("a_in") != F.col("b_in")) & may_meet("a", "b", percent))
+    return overlapping(met, "a", "b")
 
-def estimated(pairs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs that their union sketch allows, and whether it proves them."""
-    def side(name: str) -> DataFrame:
-        return classes.select(F.col("class").alias(name), F.col("n").alias(f"{name}_n"), F.col("sketch").alias(f"{name}_sketch"))
 
-    both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
-    both = both.withColumn("common", F.array_intersect("a_sketch", "b_sketch"))
-    union = F.col("a_n") + F.col("b_n") - F.size("common")
-    least = F.greatest(needed(F.col("a_n"), k, percent), needed(F.col("b_n"), k, percent))
-    last = F.element_at(F.sort_array(F.array_union("a_sketch", "b_sketch")), k)
-    seen = F.size(F.filter("common", lambda value: value <= F.col("last")))
-    both = both.withColumn("whole", F.greatest("a_n", "b_n") <= k).withColumn("last", F.when(~F.col("whole"), last))
-    linked = F.when(F.col("whole"), 100 * F.size("common") >= percent * union).otherwise(seen >= least)
-    return both.filter(linked).select("a", "b", "whole")
-
-
-def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(class, tokens) of the classes in ``wanted`` (class, key), read from the texts."""
+def full_sets(docs: DataFrame, classes: DataFrame, lists: DataFrame, size: int, whole: int) -> DataFrame:
+    """(class, tokens) of the listed classes; what was not kept whole is read from the texts again."""
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in w.blocks(batches, "body"):
@@ -184,40 +201,74 @@ def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 [batch.column("class"), _lists(value, np.bincount(row, minlength=batch.num_rows))], ["class", "tokens"]
             )
 
-    texts = hashed(docs).join(wanted, "key").select("class", "body")
-    return texts.mapInArrow(tokens, "class long, tokens array<long>").dropDuplicates(["class"])
+    listed = classes.join(lists.select("entry.class").distinct(), "class", "left_semi")
+    texts = hashed(docs).join(listed.filter(F.col("n") > whole).select("key", "class"), "key").select("class", "body")
+    read = texts.mapInArrow(tokens, "class long, tokens array<long>").dropDuplicates(["class"])
+    return listed.filter(F.col("n") <= whole).select("class", F.col("sketch").alias("tokens")).unionByName(read)
+
 
+def in_both(a: np.ndarray, b: np.ndarray, k: int | None = None) -> int:
+    """How many values two sorted sets have in common, or how many of the ``k`` smallest of their union."""
+    both = np.concatenate([a, b])
+    both.sort(kind="stable")  # merges the two
+    same = both[1:] == both[:-1]
+    if k is None:
+        return int(np.count_nonzero(same))
+    rank = np.arange(2, len(both) + 1) - np.cumsum(same)
+    return int(np.count_nonzero(same & (rank <= k)))
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
-    def side(name: str) -> DataFrame:
-        return sets.select(F.col("class").alias(name), F.col("tokens").alias(f"{name}_tokens"))
 
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    common = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    return both.filter(100 * common >= percent * (F.size("a_tokens") + F.size("b_tokens") - common)).select("a", "b")
+def verified(pairs: DataFrame, sets: DataFrame, staging: Staging, k: int, whole: int, percent: int, load: int = LOAD) -> DataFrame:
+    """(a, b) of the stored pairs that their union sketch allows and whose full sets are similar enough.
+
+    Pairs that met in one list are dealt over blocks by both classes, so a block of a large group holds a part of its sets once. Small
+    lists share blocks.
+    """
+    total = pairs.agg(F.sum(F.col("a_n") + F.col("b_n"))).first()[0] or 0
+    sizes = pairs.groupBy("list").agg(F.ceil(F.sqrt(F.sum(F.col("a_n") + F.col("b_n")) / load)).alias("blocks"))
+    few = F.col("blocks") == 1
+    place = F.when(few, F.pmod(F.xxhash64("list"), F.lit(-(-total // load) or 1))).otherwise(F.xxhash64("list"))
+    sides = [F.pmod(F.xxhash64(F.lit(name), name), "blocks").alias(at) for name, at in (("a", "x"), ("b", "y"))]
+    dealt = pairs.join(sizes, "list").select("a", "b", place.alias("place"), "blocks", *sides)
+    block = ["place", "blocks", "x", "y"]
+    held_in = [f"of_{c}" for c in block]
+    ends = dealt.select(*[F.col(c).alias(d) for c, d in zip(block, held_in)], F.explode(F.array("a", "b")).alias("class")).distinct().join(sets, "class")
+    floors = {}
+
+    def floor_of(n: int) -> int:
+        union = -(-100 * n // percent)
+        if union not in floors:
+            floors[union] = common_at_least(union if union < TABLED else None, k, percent)
+        return floors[union]
+
+    def linked(a: np.ndarray, b: np.ndarray) -> bool:
+        if max(len(a), len(b)) > whole and in_both(a[:k], b[:k], k) < max(floor_of(len(a)), floor_of(len(b))):
+            return False
+        common = in_both(a, b)
+        return 100 * common >= percent * (len(a) + len(b) - common)
+
+    def compare(pairs: pa.Table, ends: pa.Table) -> pa.Table:
+        tokens = ends.column("tokens").combine_chunks()
+        flat, offsets = tokens.values.to_numpy(), tokens.offsets.to_numpy()
+        held = {c: flat[offsets[i] : offsets[i + 1]] for i, c in enumerate(ends.column("class").to_pylist())}
+        a, b = pairs.column("a").to_pylist(), pairs.column("b").to_pylist()
+        return pairs.select(["a", "b"]).filter(pa.array([linked(held[x], held[y]) for x, y in zip(a, b)], pa.bool_()))
+
+    return dealt.groupBy(*block).cogroup(ends.groupBy(*held_in)).applyInArrow(compare, "a long, b long")
 
 
 def linked_classes(
-    docs: DataFrame, classes: DataFrame, staging: Staging, size: int, percent: int, k: int, block: int = BLOCK
+    docs: DataFrame, classes: DataFrame, staging: Staging, size: int, percent: int, k: int, whole: int, block: int, load: int
 ) -> DataFrame:
     """(node, component) of the classes that are linked with others."""
-    lists = inverted(classes, staging, k, percent)
-
-    def links(pairs: DataFrame, step: str) -> DataFrame:
-        allowed = staging.table(estimated(pairs, classes, k, percent), f"allowed-{step}")
-        open_ = allowed.filter("NOT whole")
-        ends = open_.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-        wanted = staging.table(ends.join(classes.select("class", "key"), "class"), f"wanted-{step}")
-        sets = staging.table(full_sets(docs, wanted, size), f"sets-{step}")
-        found = verified(open_, sets, percent).unionByName(allowed.filter("whole").select("a", "b"))
-        return staging.table(found, f"links-{step}")
-
+    lists = inverted(classes, staging, k, whole, percent)
+    sets = staging.table(full_sets(docs, classes, lists, size, whole), "sets")
     first = staging.table(with_central(placed(lists, None), percent), "pairs-central")
-    found = links(first, "central")
+    found = staging.table(verified(first, sets, staging, k, whole, percent, load), "links-central")
     labels = components(found, staging, "components-central")
-    rest = across(placed(lists, labels), staging, percent, block).join(first, ["a", "b"], "left_anti")
-    more = links(staging.table(rest, "pairs-across"), "across")
+    rest = across(placed(lists, labels), staging, percent, block).join(first.select("a", "b"), ["a", "b"], "left_anti")
+    rest = staging.table(rest, "pairs-across")
+    more = staging.table(verified(rest, sets, staging, k, whole, percent, load), "links-across")
     if more.isEmpty():
         return labels
     # Components so far as stars, and the new links.
@@ -226,23 +277,24 @@ def linked_classes(
 
 
 def near_copies(
-    docs: DataFrame, staging: Staging, size: int = SHINGLE, percent: int = PERCENT, k: int = K, block: int = BLOCK
-) -> DataFrame:
+    docs: DataFrame, staging: Staging, size: int = SHINGLE, percent: int = PERCENT, k: int = K, whole: int = WHOLE,
+    block: int = BLOCK, load: int = LOAD,
+) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every text; of a component the document of the smallest id is kept."""
+    if whole < k:
+        raise ValueError(f"sets are kept whole up to {whole}, which is below a sketch of {k}")
     with Staging(staging.spark) as early:
-        read = early.table(sketches(docs, size, k), "sketches")
+        read = early.table(sketches(docs, size, k, whole), "sketches")
         texts = staging.table(read.select("doc_id", "n", "class"), "texts")
         one = [F.min("doc_id").alias("low"), F.min("key").alias("key"), F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch")]
         classes = staging.table(read.filter("n > 0").groupBy("class").agg(*one), "classes")
-    labels = linked_classes(docs, classes, staging, size, percent, k, block)
+    labels = linked_classes(docs, classes, staging, size, percent, k, whole, block, load)
     linked = staging.table(labels.withColumnRenamed("node", "class").join(classes.select("class", "low"), "class"), "linked")
     names = staging.table(linked.groupBy("component").agg(F.min("low").alias("component_id")), "names")
     named = skew_join(linked.select("class", "component"), names, ["component"]).drop("component")
-    named = staging.table(
-        classes.select("class", "low").join(named.withColumn("linked", F.lit(True)), "class", "left").select(
-            "class", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("low")).alias("component_id")),
-        "named",
-    )
+    component = F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("low"))
+    named = classes.select("class", "low").join(named.withColumn("linked", F.lit(True)), "class", "left")
+    named = staging.table(named.select("class", component.alias("component_id")), "named")
     out = skew_join(texts.filter("n > 0"), named, ["class"]).select("doc_id", "n", "component_id")
     out = out.unionByName(texts.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id")))
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
