@@ -114,9 +114,10 @@ def is_bottom() -> Column:
 
 
 def inverted(classes: DataFrame, staging: Staging, k: int, whole: int, percent: int) -> DataFrame:
-    """(list, entry) of the stored lists: classes that have partners, under the values of which partners share one.
+    """(list, entry, earlier) of the stored lists: classes that have partners, under the values of which partners share one.
 
-    A list is a value, and in its last bit whether it is one of bottom-k sketches or of whole sets.
+    A list is a value, and in its last bit whether it is one of bottom-k sketches or of whole sets. ``earlier`` are the lists
+    that the class is in before this one, in the order of all.
     """
     kinds = F.array(
         F.when(F.col("n") <= whole, F.struct(F.lit(0).alias("kind"), F.col("sketch").alias("values"))),
@@ -132,9 +133,10 @@ def inverted(classes: DataFrame, staging: Staging, k: int, whole: int, percent:
     least = F.when(is_whole, F.ceil(F.col("n") * percent / 100).cast("int")).otherwise(needed(F.col("n"), k, percent))
     sized = sized.withColumn("needed", least).filter("shared >= needed")
     kept = F.when(is_whole, F.col("n")).otherwise(F.lit(k))
-    posted = sized.select("class", "n", "needed", "shared", kept.alias("kept"), F.posexplode(F.expr("slice(values, 1, shared - needed + 1)")).alias("place", "v"))
+    ids = F.transform("values", lambda value: value["list"])
+    posted = sized.withColumn("ids", ids).select("class", "n", "ids", "needed", "shared", kept.alias("kept"), F.posexplode(F.expr("slice(values, 1, shared - needed + 1)")).alias("place", "v"))
     entry = F.struct((F.col("kept") - F.col("shared")).alias("own"), "class", "n", "needed", (F.col("shared") - F.col("place")).alias("left"))
-    return staging.table(posted.select(F.col("v.list").alias("list"), entry.alias("entry")), "lists")
+    return staging.table(posted.select(F.col("v.list").alias("list"), entry.alias("entry"), F.slice("ids", 1, F.col("place")).alias("earlier")), "lists")
 
 
 def may_meet(a: str, b: str, percent: int) -> Column:
@@ -148,10 +150,10 @@ def may_meet(a: str, b: str, percent: int) -> Column:
 def placed(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
     """The lists with the component of each class so far."""
     if labels is None:
-        return lists.withColumn("component", F.col("entry.class"))
+        return lists.withColumn("component", F.col("entry.class")).drop("earlier")
     known = labels.withColumnRenamed("node", "class")
     return lists.withColumn("class", F.col("entry.class")).join(known, "class", "left").select(
-        "list", "entry", F.coalesce("component", "class").alias("component")
+        "list", "entry", "earlier", F.coalesce("component", "class").alias("component")
     )
 
 
@@ -175,7 +177,7 @@ def with_central(lists: DataFrame, percent: int) -> DataFrame:
 
 
 def across(lists: DataFrame, staging: Staging, percent: int, block: int = BLOCK) -> DataFrame:
-    """All pairs of classes of a list that lie in different components.
+    """All pairs of classes of a list that lie in different components, each in the first list that both are in.
 
     A list is dealt over blocks of about ``block`` entries by a hash, and a pair of blocks is a key of the join, so a task holds a few
     blocks, however long the list.
@@ -184,10 +186,12 @@ def across(lists: DataFrame, staging: Staging, percent: int, block: int = BLOCK)
     mixed = staging.table(mixed.filter("low != high").select("list", F.ceil(F.col("entries") / block).alias("blocks")), "mixed")
     dealt = lists.join(mixed, "list").withColumn("own", F.pmod(F.xxhash64("entry.class"), F.col("blocks")))
     # Under (x, y), x <= y, the block x is on the left, and y on the right.
-    left = dealt.select("list", F.col("entry").alias("a"), F.col("component").alias("a_in"), F.col("own").alias("x"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("y"))
-    right = dealt.select("list", F.col("entry").alias("b"), F.col("component").alias("b_in"), F.explode(F.sequence(F.lit(0).cast("long"), "own")).alias("x"), F.col("own").alias("y"))
+    left = dealt.select("list", F.col("entry").alias("a"), F.col("earlier").alias("a_earlier"), F.col("component").alias("a_in"), F.col("own").alias("x"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("y"))
+    right = dealt.select("list", F.col("entry").alias("b"), F.col("earlier").alias("b_earlier"), F.col("component").alias("b_in"), F.explode(F.sequence(F.lit(0).cast("long"), "own")).alias("x"), F.col("own").alias("y"))
     once = (F.col("x") < F.col("y")) | (F.col("a.class") < F.col("b.class"))
-    met = left.join(right, ["list", "x", "y"]).filter(once & (F.col("a_in") != F.col("b_in")) & may_meet("a", "b", percent))
+    met = left.join(right, ["list", "x", "y"]).filter(
+        once & (F.col("a_in") != F.col("b_in")) & may_meet("a", "b", percent) & ~F.arrays_overlap("a_earlier", "b_earlier")
+    )
     return overlapping(met, "a", "b")
 
 
