@@ -2,7 +2,9 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from riskmart.operators import sketches
 from riskmart.operators.quantiles import approx_quantiles, exact_quantiles
+from riskmart.sources.scratch import Staging
 
 SHARES = [0.01, 0.5, 0.99]
 COLUMNS = ["normal", "skewed", "mostly_zero", "codes", "constant", "huge"]
@@ -91,3 +93,42 @@ def test_statistics_too_large_to_broadcast(spark, sample):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert {r["g"]: r["skewed"] for r in have} == want
+
+
+@pytest.mark.parametrize("margin, few", [(None, 3), (0.0, 3), (-0.3, 10**6)])
+def test_ranges_of_many_values_and_ranges_that_miss(sample, margin, few):
+    """Few values a task narrow what was kept; a margin below nought puts ranks outside their ranges."""
+    frame, df = sample
+    have = exact_quantiles(df, ["normal", "skewed", "mostly_zero", "huge"], SHARES, margin=margin, few=few).first()
+    for c in ["normal", "skewed", "mostly_zero", "huge"]:
+        np.testing.assert_allclose(have[c], frame[c].dropna().quantile(SHARES), rtol=1e-12, err_msg=c)
+
+
+def test_the_table_is_read_twice(spark, sample, tmp_path):
+    _, df = sample
+    path = str(tmp_path / "stored")
+    df.write.parquet(path)
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        reads.add(1)
+        yield from batches
+
+    stored = spark.read.parquet(path).coalesce(1)
+    watched = stored.mapInArrow(counted, stored.schema)
+    exact_quantiles(watched, COLUMNS, SHARES, ["g"]).collect()
+    assert reads.value == 2
+
+
+def test_merged_states_equal_those_of_all_rows(spark, sample):
+    frame, df = sample
+    states = Staging(spark).table(sketches.column_states(df, COLUMNS, ["g"]), "states")
+    merged = sketches.merged_states(states)
+    whole = {r.c: r for r in sketches.column_states(df, COLUMNS).collect()}
+    for r in merged.collect():
+        assert [r[f] for f in (*sketches.COUNTS, "least", "most")] == [whole[r.c][f] for f in (*sketches.COUNTS, "least", "most")]
+    have = sketches.estimated_quantiles(merged, COLUMNS, SHARES).first()
+    for c in ("normal", "skewed"):
+        ranks = np.searchsorted(np.sort(frame[c]), have[c]) / len(frame)
+        assert np.abs(ranks - SHARES).max() < sketches.error_of(sketches.K)
+    assert have["constant"] == [7.0] * 3
