@@ -36,7 +36,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskmart.llm import words as w
@@ -48,6 +47,7 @@ SHINGLE, PERCENT = 4, 85
 GROUP_BYTES = 16 << 20
 MOST = 60_000  # frequencies beyond are alike
 ORDERS = 2
+BROADCAST_ROWS = 1 << 20  # of two hashes each
 ROUNDS = 1  # with central classes
 SETS = (
     "doc_id long, key long, tag long, n long, shared long, class long, "
@@ -308,16 +308,25 @@ def near_copies(docs: DataFrame, staging: Staging, size: int = SHINGLE, percent:
 
 
 def without_near_copies(docs: DataFrame, staging: Staging, size: int, percent: int) -> DataFrame:
-    """One document of each group of linked documents, that of the smallest id; texts with empty sets all stay."""
-    found = staging.table(near_copies(docs, staging, size, percent), "near")
-    least = found.filter("component is not null").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key", "tag")).alias("least"))
-    kept = least.select("least.key", "least.tag", F.lit(False).alias("empty")).unionByName(
-        found.filter("component is null").select("key", "tag", F.lit(True).alias("empty")).distinct()
-    )
+    """One document of each group of linked documents, that of the smallest id; texts with empty sets all stay.
+
+    Of equal rows any one stays. Only the hashes of what goes are joined to the rows, broadcast where they are ``BROADCAST_ROWS`` at most.
+    """
+    with Staging(staging.spark) as work:
+        found = staging.table(near_copies(docs, work, size, percent).filter("component is not null").select("doc_id", "key", "tag", "component"), "near")
+    least = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key", "tag")).alias("least"))
+    kept = least.select("least.key", "least.tag", F.lit(True).alias("kept"))
+    texts = found.groupBy("key", "tag").agg(F.count("*").alias("rows")).join(kept, ["key", "tag"], "left")
+    marks = staging.table(texts.select("key", "tag", F.col("kept").isNotNull().alias("repeated"), "rows").filter("rows > 1 OR NOT repeated").drop("rows"), "marks")
+    of_repeated, all_ = marks.agg(F.count_if("repeated"), F.count("*")).first()
+    marks = F.broadcast(marks) if all_ <= BROADCAST_ROWS else marks
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     rows = docs.select(F.xxhash64("doc_id", "text").alias("key"), _tag(F.coalesce(F.col("text"), F.lit(""))).alias("tag"), row)
-    copy = F.row_number().over(W.partitionBy("key", "tag").orderBy("key"))  # equal rows: any of them
-    return rows.join(kept, ["key", "tag"]).withColumn("copy", copy).filter("empty or copy = 1").select("row.*")
+    out = rows.join(marks, ["key", "tag"], "left_anti").select("row.*")
+    if of_repeated:
+        copies = rows.join(marks.filter("repeated"), ["key", "tag"], "left_semi")
+        out = out.unionByName(copies.groupBy("key", "tag").agg(F.first("row").alias("row")).select("row.*"))
+    return out
 
 
 SQL = r"""

@@ -38,5 +38,5 @@ def test_odd_documents(spark, documents):
 
 
 def test_every_operator_has_its_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert corpus_pipeline.PERCENT == 80 and jaccard.PERCENT == 85
