@@ -66,7 +66,7 @@ CONTEXT = [
 SAMPLE, FOLDS = 20_000, 4
 TREES, DEPTH = 10, 3
 CHANCE = 0.9
-ADDRESS = r"^[A-Za-z0-9_](?:[A-Za-z0-9_%+-]|\.(?!\.))*+(?<!\.)@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}$"
+ADDRESS = r"^[A-Za-z0-9_](?:[A-Za-z0-9_%+-]|\.(?!\.))*+(?<!\.)@(?:[A-Za-z0-9]++(?:-++[A-Za-z0-9]++)*+\.)++[A-Za-z]{2,}$"
 GROUPS = r"^(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{2}:){5}[0-9A-Fa-f]{2})$"
 IBAN = r"^[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}$"
 CARD_GROUPS = r"^(?:[0-9]{16,19}|[0-9]{4}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{1,3})?)$"

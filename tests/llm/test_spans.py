@@ -189,3 +189,10 @@ def test_placeholders_spare_only_their_own_part_and_forms_cut_spans(documents):
         assert any(kind == "entropy" and a <= start + 8 and b >= len(texts[k]) - 8 for kind, a, b in found[k])
     assert found[2] == []
     assert ("access", 0, 20) in found[3] and ("entropy", 20, 61) in found[3] and len(found[3]) == 2
+
+
+def test_an_address_of_very_many_labels(documents, staging):
+    """No pattern may recurse once per label."""
+    rows = [(1, "x@" + "a." * 10_000 + "com"), (2, "mail a@b-c.org now"), (3, "x (at) " + "a (dot) " * 3_000 + "com")]
+    found = {r.doc_id: r for r in pii.with_spans(documents(rows), staging).collect()}
+    assert [(s.start, s.end) for s in found[1].base] == [(0, 20_005)] and [(s.start, s.end) for s in found[2].base] == [(5, 14)]
