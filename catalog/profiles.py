@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import query
 from catalog.features import base, financials, full_base
 from catalog.views import duck, raw, table
-from riskmart.operators import profile, silver
+from riskmart.operators import profile, silver, sketches
+from riskmart.operators.joins import lookup
+from riskmart.plans import states
 from riskmart.schemas import CLICKSTREAM_FEATURES, FINANCIAL_TYPES
+from riskmart.sources import snapshots
 from riskmart.sources.scratch import Staging
+from riskmart.sources.snapshots import write_snapshots
 
 NUMERIC = [c for c, kind in FINANCIAL_TYPES.items() if kind != "string"]
 
@@ -82,3 +88,49 @@ def correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("select count(*) as row_count, 11 as column_count from lineitem")
 def table_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.table_shape(table(spark, sf_dir, "lineitem"))
+
+
+_SHARES = [0.01, 0.5, 0.99]
+
+
+@query(duck(f"""
+    select feature as "column", count(v) as row_count, min(v) as least, max(v) as most,
+           {", ".join(f"round(quantile_cont(v, {share}), 6) as q{i}" for i, share in enumerate(_SHARES))}, true as estimates_within
+    from (select {", ".join(f"cast({c} as double) as {c}" for c in NUMERIC)} from financials)
+         unpivot (v for feature in ({", ".join(NUMERIC)})) group by feature"""))
+def stored_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of all months from states stored month by month, one month of them written anew.
+
+    Counts and ends come from the states alone; the exact quantiles read the table once, seeded by the states; the estimates
+    are held against the ranks they promise.
+    """
+    staging = Staging(spark)
+    root, kept = staging.path("silver"), staging.path("states")
+    rows = staging.table(financials(spark, sf_dir), "financials")
+    write_snapshots(rows, root, rebalance=True)
+    states.refresh(spark, root, kept, NUMERIC)
+    last = max(snapshots.stored_snapshots(spark, root))
+    write_snapshots(snapshots.snapshot_range(rows, last, last), root, rebalance=True)
+    again = states.refresh(spark, root, kept, NUMERIC)
+    if again != [last]:
+        raise RuntimeError(f"states of {again} were built again, not of {last} alone")
+
+    merged = states.range_states(spark, root, kept, NUMERIC)
+    names = F.array(*[F.lit(c) for c in NUMERIC])
+    known = merged.select(F.element_at(names, F.col("c") + 1).alias("column"), F.col("n").alias("row_count"), "least", "most")
+    exact = states.range_quantiles(spark, root, kept, NUMERIC, _SHARES, exact=True)
+    near = states.range_quantiles(spark, root, kept, NUMERIC, _SHARES)
+
+    def long(wide: DataFrame, name: str) -> DataFrame:
+        return wide.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias(name)) for c in NUMERIC])))
+
+    values = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in NUMERIC]
+    met = lookup(snapshots.read_snapshots(spark, root).select(F.inline(F.array(*values))).filter("v is not null"), long(near, "near"), ["column"])
+
+    def within(i: int, share: float) -> Column:
+        n, slack = F.count("*"), sketches.error_of(sketches.K) * F.count("*") + 1
+        return (F.count_if(F.col("v") < F.col("near")[i]) <= share * n + slack) & (F.count_if(F.col("v") <= F.col("near")[i]) >= share * n - slack)
+
+    checked = met.groupBy("column").agg(reduce(Column.__and__, [within(i, share) for i, share in enumerate(_SHARES)]).alias("estimates_within"))
+    quantiles = long(exact, "q").select("column", *[F.round(F.col("q")[i], 6).alias(f"q{i}") for i in range(len(_SHARES))])
+    return known.join(quantiles, "column").join(checked, "column")

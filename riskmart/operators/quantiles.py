@@ -49,6 +49,7 @@ def exact_quantiles(
     interpolate: bool = True,
     margin: float | None = None,
     few: int = FEW,
+    states: DataFrame | None = None,
 ) -> DataFrame:
     """One row per group with an array of exact quantiles per column.
 
@@ -56,12 +57,13 @@ def exact_quantiles(
     the first value that at least the wanted share of rows does not exceed. Nulls and NaNs
     are left out; a column without values gives null, a group without any has no row. ``df``
     is read twice, so it should come straight from a stored table. ``margin`` is the share of rows on either side of a quantile
-    that its range covers, by default the sketch's error.
+    that its range covers, by default the sketch's error. ``states`` of the same rows, as ``column_states`` or ``merged_states`` give
+    them, save the first read; their counts must be those of ``df``.
     """
     by, columns = list(by), list(columns)
     keys = [*by, "c"]
     staging = Staging(df.sparkSession)
-    states = staging.table(column_states(df, columns, by), "states")
+    states = staging.table(column_states(df, columns, by) if states is None else states, "states")
     targets = staging.table(_targets(states, list(probabilities), keys, interpolate, error_of(K) if margin is None else margin), "targets")
     entries = [F.struct(F.lit(c).alias("c"), number(name).alias("v")) for c, name in enumerate(columns)]
     long = df.select(*by, F.inline(F.array(*entries))).filter("v is not null")

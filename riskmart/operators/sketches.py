@@ -27,11 +27,12 @@ def number(name: str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def column_states(df: DataFrame, columns: list[str], by: list[str] = (), k: int = K) -> DataFrame:
+def column_states(df: DataFrame, columns: list[str], by: list[str] = (), k: int = K, keep_empty: bool = False) -> DataFrame:
     """One row per group and column with values: ``c``, its place in ``columns``, and its state.
 
     A state is ``n`` values, of which ``lowest`` are minus infinity and ``highest`` infinity, the ``least`` and ``most`` of the
     finite ones, and their ``sketch``. One aggregate of the rows as they are, with partial states in each task.
+    ``keep_empty`` also gives the state of a column without values, with ``n`` 0.
     """
 
     def state(c: int, name: str) -> Column:
@@ -43,7 +44,8 @@ def column_states(df: DataFrame, columns: list[str], by: list[str] = (), k: int
         )
 
     wide = df.groupBy(*by).agg(F.array(*[state(c, name) for c, name in enumerate(columns)]).alias("states"))
-    return wide.select(*by, F.inline("states")).filter("n > 0")
+    states = wide.select(*by, F.inline("states"))
+    return states if keep_empty else states.filter("n > 0")
 
 
 def merged_states(states: DataFrame, by: list[str] = ()) -> DataFrame:

@@ -23,13 +23,14 @@ from riskmart.operators.features import (
     pad_clickstream,
 )
 from riskmart.operators.loans import DPD_THRESHOLD, MONTH_ON_BOOK, add_delinquency, label_store
-from riskmart.operators.profile import overlap_quality, snapshot_counts
+from riskmart.operators.profile import numeric_columns, overlap_quality, snapshot_counts
 from riskmart.operators.silver import (
     silver_attributes,
     silver_clickstream,
     silver_financials,
     silver_loans_typed,
 )
+from riskmart.plans.states import range_quantiles, refresh
 from riskmart.schemas import RAW_SCHEMAS, SNAPSHOT
 from riskmart.sources.scratch import Staging
 from riskmart.sources.snapshots import read_raw, read_snapshots, snapshot_range, stored_snapshots, write_snapshots
@@ -95,6 +96,22 @@ def build_silver(mart: Datamart, tables: Iterable[str] = tuple(SILVER)) -> None:
         write_snapshots(SILVER[table](mart.bronze(table)), mart.path("silver", table), span=mart.span)
 
 
+def build_states(mart: Datamart, tables: Iterable[str] = ("financials", "clickstream")) -> dict[str, list[str]]:
+    """Quantile states of the numeric columns of silver tables; names the snapshots that had to be read for them."""
+    built = {}
+    for table in tables:
+        root = mart.path("silver", table)
+        built[table] = refresh(mart.spark, root, mart.path("states", table), numeric_columns(mart.silver(table)), mart.start, mart.end)
+    return built
+
+
+def silver_quantiles(mart: Datamart, table: str, probabilities: list[float], by: list[str] = (), exact: bool = False) -> DataFrame:
+    """Quantiles of a silver table's numeric columns over the range, from the states of its snapshots."""
+    columns = numeric_columns(mart.silver(table))
+    root, states = mart.path("silver", table), mart.path("states", table)
+    return range_quantiles(mart.spark, root, states, columns, probabilities, mart.start, mart.end, by, exact)
+
+
 def build_labels(mart: Datamart, dpd: int = DPD_THRESHOLD, mob: int = MONTH_ON_BOOK) -> None:
     labels = label_store(mart.silver("loan_daily"), dpd, mob)
     write_snapshots(labels, mart.path("gold", LABELS), span=mart.span)
@@ -132,10 +149,16 @@ def backfill(
     mob: int = MONTH_ON_BOOK,
     clickstream_snapshots: Iterable[str] = CLICKSTREAM_SNAPSHOTS,
     exact: bool = False,
+    states: bool = False,
 ) -> None:
-    """Every layer of the range, from raw tables to the label and feature stores."""
+    """Every layer of the range, from raw tables to the label and feature stores.
+
+    ``states`` also keeps quantile states of the silver tables, so that later profiles need not read them.
+    """
     land_bronze(mart, raw)
     build_silver(mart)
+    if states:
+        build_states(mart)
     build_labels(mart, dpd, mob)
     build_features(mart, clickstream_snapshots, exact)
 

@@ -101,7 +101,7 @@ def write_snapshots(
     """
     spark = df.sparkSession
     stored = stored_snapshots(spark, root) if span is not None else {}
-    before = {path: _files(spark, path) for day, path in stored.items() if _within(day, span)}
+    before = {path: _files(spark, path) for day, path in stored.items() if in_span(day, *span)}
     grouped = df.hint("rebalance", SNAPSHOT) if rebalance else df
     writer = grouped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(SNAPSHOT)
     if fmt == "csv":
@@ -118,11 +118,13 @@ def _files(spark: SparkSession, path: str) -> set[str]:
     return {status.getPath().getName() for status in system.listStatus(location)}
 
 
-def _within(day: str, span: tuple[str, str]) -> bool:
+def in_span(day: str, start: str | None = None, end: str | None = None) -> bool:
+    """Whether a folder's ISO date lies between two others, both included; ``None`` leaves a side open."""
     try:
-        return date.fromisoformat(span[0]) <= date.fromisoformat(day) <= date.fromisoformat(span[1])
+        found = date.fromisoformat(day)
     except ValueError:
         return False
+    return (start is None or date.fromisoformat(start) <= found) and (end is None or found <= date.fromisoformat(end))
 
 
 def read_snapshots(

@@ -129,3 +129,13 @@ def test_snapshot_dates_are_dates_in_the_training_set(years):
     merged = training_set(years.gold(BASELINE), years.gold(LABELS))
     row = merged.first()
     assert row[SNAPSHOT] == row["loan_open_date"] and isinstance(row["label_obs_date"], date)
+
+
+def test_states_follow_the_months_that_were_run(spark, mart):
+    assert backfill.build_states(mart)["financials"] == MONTHS
+    month = Datamart(spark, mart.root, MONTHS[1], MONTHS[1])
+    backfill.build_silver(month, ["financials"])
+    assert backfill.build_states(mart) == {"financials": [MONTHS[1]], "clickstream": []}
+    year = backfill.silver_quantiles(mart, "financials", [0.5], exact=True).first()
+    wanted = mart.silver("financials").agg(F.percentile("Annual_Income", 0.5)).first()[0]
+    assert year["Annual_Income"] == [pytest.approx(wanted)]
