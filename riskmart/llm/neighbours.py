@@ -1,10 +1,11 @@
 """Approximate nearest neighbours by a permutation index.
 
-A bounded sample of the vectors serves as pivots. Every vector is represented by the order in which
-the pivots are near to it. The index is dealt into blocks; in a block each pivot has a file that holds, for all vectors of the
-block, the place the pivot takes in their orders. A query reads the pivots' files and adds up, over all pivots,
-how far its own places lie from a vector's (Spearman's footrule). The share of a block with the smallest
-footrule is ranked again by inner products of the original vectors in double precision.
+A bounded sample of the vectors serves as pivots. Every vector is represented by its ``ORDER`` nearest pivots, in order, and posted in
+the file of each of them with the place that the pivot takes. The index is dealt into blocks of bounded size, so a file is a
+list for each block. A query reads the files of its own nearest pivots and no others, and adds up how much nearer than an absent
+pivot each shared one is: ``ORDER`` less the difference of the two places. That ranks by Spearman's footrule over the lists, where
+an absent pivot counts as one at place ``ORDER``, up to the part that all vectors of a query have in common. The best share
+of a block is ranked again by inner products of the original vectors in double precision.
 
 Inner products become angles first: vectors get one more coordinate, so that all have the length of the longest,
 and queries get zero there. Equal vectors are one entry of the index, with the smallest ids that a
@@ -22,6 +23,7 @@ import warnings
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -30,7 +32,8 @@ from riskmart.llm.registry import query, table
 from riskmart.sources.scratch import Staging
 
 NEAREST = 20
-PIVOTS = 128  # the bound of the sample
+PIVOTS = 1024  # the bound of the sample
+ORDER = 64  # nearest pivots that represent a vector
 SHARE = 0.15  # of a block is ranked again
 AT_LEAST = 400  # entries of a block
 INDEX_BLOCK, QUERY_BLOCK = 16_384, 1_024
@@ -57,20 +60,23 @@ def matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
 
 
-def places(near: np.ndarray) -> np.ndarray:
-    """Place of every pivot in the order of the pivots, nearest first, for each row of inner products."""
-    order = np.argsort(-near, axis=1, kind="stable")
-    out = np.empty(order.shape, np.uint8)
-    np.put_along_axis(out, order, np.arange(order.shape[1], dtype=np.uint8)[None, :], 1)
-    return out
+def nearest_pivots(near: np.ndarray, order: int) -> np.ndarray:
+    """The ``order`` nearest pivots, nearest first, for each row of inner products."""
+    return np.argsort(-near, axis=1, kind="stable")[:, :order].astype(np.int32)
 
 
 def search(
-    vectors: DataFrame, queries: Column, staging: Staging, nearest: int = NEAREST, pivots: int = PIVOTS, share: float = SHARE
+    vectors: DataFrame,
+    queries: Column,
+    staging: Staging,
+    nearest: int = NEAREST,
+    pivots: int = PIVOTS,
+    share: float = SHARE,
+    order: int = ORDER,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the nearest found for each row of ``vectors`` (id, vector) that is a query."""
-    if not 1 <= pivots <= 256:
-        raise ValueError("pivots are numbered by one byte")
+    if not (1 <= pivots <= 65_536 and 1 <= order <= 256):
+        raise ValueError("a sample has 1 to 65,536 pivots, of which 1 to 256 represent a vector")
     rows = vectors.filter(usable("vector") & F.col("id").isNotNull())
     widths = rows.groupBy(F.size("vector").alias("width")).count()
     most = widths.agg(F.max(F.struct("count", F.negate("width").alias("width"))).alias("most"), F.sum("count").alias("all")).first()
@@ -88,37 +94,48 @@ def search(
     extra = np.sqrt(np.maximum(longest - (chosen**2).sum(1), 0.0))
     blocks = max(1, -(-size // INDEX_BLOCK))
 
+    order = min(order, len(sample))
+
     def rank_pivots(batches):
         for batch in batches:
             x = matrix(batch.column("vector"), width)
             lift = np.sqrt(np.maximum(longest - (x**2).sum(1), 0.0))
-            order = places(x @ chosen.T + np.outer(lift, extra))
-            packs = pa.array([row.tobytes() for row in order], pa.binary())
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("key", "vector", "ids")], packs], ["key", "vector", "ids", "places"])
-
-    indexed = entries.mapInArrow(rank_pivots, "key long, vector array<float>, ids array<long>, places binary")
-    index = staging.table(indexed.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks))), "index")
+            found = nearest_pivots(x @ chosen.T + np.outer(lift, extra), order)
+            lists = pa.FixedSizeListArray.from_arrays(pa.array(found.ravel()), max(order, 1)).cast(pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("key", "vector", "ids")], lists], ["key", "vector", "ids", "pivots"])
+
+    ordered = entries.mapInArrow(rank_pivots, "key long, vector array<float>, ids array<long>, pivots array<int>")
+    ordered = ordered.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)))
+    slot = F.row_number().over(W.partitionBy("block").orderBy("key", "vector")) - 1
+    index = staging.table(ordered.withColumn("slot", slot), "index")
+    postings = index.select("block", "slot", F.posexplode("pivots").alias("place", "pivot"))
+    posted = F.sort_array(F.collect_list(F.struct("slot", "place")))
+    files = postings.groupBy("block", "pivot").agg(posted.alias("file"))  # as long as a block at most
+    files = staging.table(files.select("block", "pivot", F.col("file.slot").alias("slots"), F.col("file.place").alias("places")), "files")
 
     asked = rows.filter(queries).select(F.col("id").alias("query_id"), F.xxhash64("vector").alias("key"), "vector").distinct()
     vectors_asked = staging.table(asked.select("key", "vector").distinct(), "queries")
     parts = max(1, -(-vectors_asked.count() // QUERY_BLOCK))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
     questions = vectors_asked.select("key", "vector", F.pmod(F.xxhash64("key"), F.lit(parts)).alias("part"), every(blocks).alias("block"))
-    held = index.select("block", every(parts).alias("part"), "key", "vector", "ids", "places")
+    held = index.select("block", "slot", "vector", "ids").unionByName(files, allowMissingColumns=True)
+    held = held.select("*", every(parts).alias("part"))
 
     def answer(ask: pa.Table, have: pa.Table) -> pa.Table:
         found: list[tuple] = []
         if ask.num_rows and have.num_rows:
-            keys = ask.column("key").to_numpy()
-            q, x = matrix(ask.column("vector"), width), matrix(have.column("vector"), width)
-            files = np.frombuffer(b"".join(have.column("places").to_pylist()), np.uint8).reshape(len(x), -1).T.copy()
-            own = places(q @ chosen.T)
+            members = have.filter(pc.is_null(have.column("pivot"))).sort_by("slot")
+            lists = have.filter(pc.is_valid(have.column("pivot")))
+            keys, ids = ask.column("key").to_numpy(), members.column("ids").to_pylist()
+            q, x = matrix(ask.column("vector"), width), matrix(members.column("vector"), width)
+            slots, gains = postings_of(lists, "slots"), postings_of(lists, "places")
+            file_of = {pivot: i for i, pivot in enumerate(lists.column("pivot").to_pylist())}
             wanted = min(len(x), max(AT_LEAST, int(np.ceil(share * len(x)))))
-            ids = have.column("ids").to_pylist()
-            for i in range(len(q)):
-                place = own[i][:, None]
-                apart = (np.maximum(files, place) - np.minimum(files, place)).sum(0, dtype=np.uint32)
-                near = np.argpartition(apart, wanted - 1)[:wanted]
+            for i, own in enumerate(nearest_pivots(q @ chosen.T, order)):
+                read = [(place, file_of[p]) for place, p in enumerate(own.tolist()) if p in file_of]
+                met = np.concatenate([slots[f] for _, f in read] or [np.zeros(0, np.int64)])
+                gain = np.concatenate([order - np.abs(gains[f] - place) for place, f in read] or [np.zeros(0)])
+                near = np.argpartition(-np.bincount(met, gain, len(x)), wanted - 1)[:wanted]
                 score = (x[near] * q[i]).sum(1)
                 top = near_best(score, nearest + 1)
                 pairs = [(s, v) for s, j in zip(score[top].tolist(), near[top].tolist()) for v in ids[j]]
@@ -129,8 +146,8 @@ def search(
 
     cogrouped = questions.groupBy("block", "part").cogroup(held.groupBy("block", "part"))
     found = cogrouped.applyInArrow(answer, "key long, vec_id long, score double")
-    order = W.partitionBy("key").orderBy(F.desc("score"), "vec_id")
-    found = found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= nearest + 1)
+    best = W.partitionBy("key").orderBy(F.desc("score"), "vec_id")
+    found = found.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= nearest + 1)
     lists = found.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("place", "vec_id", "score"))).alias("found"))
     others = F.slice(F.filter("found", lambda f: f["vec_id"] != F.col("query_id")), 1, nearest)
     return (
@@ -140,6 +157,12 @@ def search(
     )
 
 
+def postings_of(lists: pa.Table, column: str) -> list[np.ndarray]:
+    """The column's list of each file."""
+    packed = lists.column(column).combine_chunks()
+    return np.split(packed.flatten().to_numpy().astype(np.int64), np.cumsum(pc.list_value_length(packed).to_numpy())[:-1])
+
+
 def near_best(score: np.ndarray, most: int) -> np.ndarray:
     """Places of the ``most`` best scores and of all that tie with the last of them."""
     if len(score) <= most:
