@@ -127,29 +127,73 @@ def auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(area,)], "roc_auc double").select(F.round("roc_auc", 8).alias("roc_auc"))
 
 
-def evaluated(spark: SparkSession, sf_dir: str) -> Evaluation:
+def evaluated(spark: SparkSession, sf_dir: str, solver: str = "lbfgs") -> Evaluation:
     staging = Staging(spark)
     store = staging.table(gold(spark, sf_dir), "gold")
     labels = staging.table(label_store(monthly_loans(spark, sf_dir)), "labels")
-    return run_train_evaluate(store, labels, "baseline", TRAIN_END)
-
-
-@query()
+    return run_train_evaluate(store, labels, "baseline", TRAIN_END, solver=solver)
+
+
+def _newton_sql(wanted: str, steps: int = 12) -> str:
+    """SQL over ``scaled`` (test rows and train rows with x0, the constant, x1, ...) and ``fitted`` (beta), by Newton steps.
+
+    Each step of the recursion adds up gradient and Hessian and solves for the step by Gauss and Jordan's elimination.
+    """
+    names, places = sorted(_MODEL_FEATURES), range(len(_MODEL_FEATURES) + 1)
+    xs = [f"(coalesce(case when {c} < lows[{i}] then lows[{i}] when {c} > highs[{i}] then highs[{i}] else {c} end, fills[{i}]) - means[{i}])"
+          f" / case when stds[{i}] > 0 then stds[{i}] else 1 end as x{i}" for i, c in enumerate(names, 1)]
+    z = " + ".join(f"beta[{i + 1}] * x{i}" for i in places)
+    # The penalty leaves the constant alone.
+    row = [", ".join([f"sum(h * x{i} * x{j})" + (" + 1" if i == j > 0 else "") for j in places]
+                     + [f"sum(g * x{i})" + (f" + any_value(beta[{i + 1}])" if i > 0 else "")]) for i in places]
+    system = "[" + ", ".join(f"[{r}]" for r in row) + "]"
+    size = len(places)
+    swept = f"""list_reduce([[[cast(k as double)]] for k in range(1, {size + 1})], lambda m, k:
+        list_transform(m, lambda r, i: case when i = k[1][1] then r else
+            list_transform(r, lambda v, j: v - r[cast(k[1][1] as int)] / m[cast(k[1][1] as int)][cast(k[1][1] as int)] * m[cast(k[1][1] as int)][j]) end), m)"""
+    return duck(f"""
+    , wide as materialized (select Customer_ID, label_obs_date, label, {", ".join(f"cast({c} as double) as {c}" for c in names)} from training),
+    quantiles as materialized (select feature, quantile_cont(v, 0.01) as low, quantile_cont(v, 0.99) as high, median(v) as fill
+        from {_LONG.replace("from training", "from wide")} group by feature),
+    stats as materialized (select list(low order by feature) as lows, list(high order by feature) as highs, list(fill order by feature) as fills,
+            list(mean order by feature) as means, list(std order by feature) as stds
+        from (select feature, low, high, fill, avg(prepared) as mean, stddev_pop(prepared) as std
+              from (select q.*, case when v < low then low when v > high then high else coalesce(v, fill) end as prepared
+                    from {_LONG.replace("from training", "from wide")} u join quantiles q on u.feature = q.feature) group by all)),
+    scaled as materialized (select Customer_ID, label_obs_date, label, 1.0::double as x0, {", ".join(xs)},
+            label_obs_date <= date '{TRAIN_END}' as known,
+            count(*) over (partition by known) / (2 * count(*) over (partition by known, label)) as weight from wide, stats),
+    steps as (select 0 as step, list_transform(range(0, {size}), lambda i: 0.0::double) as beta
+        union all
+        select step + 1, list_transform(beta, lambda b, i: b - m[i][{size + 1}] / m[i][i])
+        from (select step, beta, {swept} as m
+              from (select step, any_value(beta) as beta, {system} as m
+                    from (select *, weight * (p - label) as g, weight * p * (1 - p) as h
+                          from (select *, 1 / (1 + exp(-({z}))) as p from scaled, steps where known and step < {steps})) group by step))),
+    fitted as materialized (select beta from steps where step = {steps})
+    {wanted.replace("<z>", z)}""").replace("with ", "with recursive ", 1).replace("\n\n    , wide", ",\n    wide")
+
+
+@query(_newton_sql("""
+    select Customer_ID, label_obs_date, label, cast(p > 0.5 as integer) as prediction, round(p, 6) as probability
+    from (select *, 1 / (1 + exp(-(<z>))) as p from scaled, fitted where not known)"""))
 def lr_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and probability of every test row by the model fitted on the train rows."""
     train, test = training.chronological_split(merged(spark, sf_dir), TRAIN_END)
-    fitted = model.fit_model(train, training.feature_columns(train))
-    return fitted.score(test).select("Customer_ID", "label_obs_date", "label", "prediction", "probability")
+    fitted = model.fit_newton(train, training.feature_columns(train))
+    return fitted.score(test).select("Customer_ID", "label_obs_date", "label", "prediction", F.round("probability", 6).alias("probability"))
 
 
-@query()
+@query(_newton_sql(f"""
+    select unnest({sorted(_MODEL_FEATURES)}) as feature, round(abs(unnest(beta[2:])), 6) as abs_coef, round(unnest(beta[2:]), 6) as coef
+    from fitted order by abs_coef desc, feature limit 20"""))
 def coef_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The largest coefficients, by way of the stored result table."""
-    result = evaluated(spark, sf_dir)
+    result = evaluated(spark, sf_dir, "newton")
     path = Staging(spark).path("coefficients")
     write_result(result.coefficients, path)
     stored = spark.read.schema(result.coefficients.schema).option("header", True).csv(path)
-    return model.top_coefficients(stored, 20)
+    return model.top_coefficients(stored, 20).withColumns({c: F.round(c, 6) for c in ("abs_coef", "coef")})
 
 
 @query()

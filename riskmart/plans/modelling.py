@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.operators.metrics import class_report, confusion, metrics_row, metrics_table
-from riskmart.operators.model import DefaultModel, fit_model
+from riskmart.operators.model import DefaultModel, NewtonModel, fit_model, fit_newton
 from riskmart.operators.profile import distribution
 from riskmart.operators.training import check_split, chronological_split, columns_with_values, feature_columns, training_set
 from riskmart.plans.backfill import BASELINE, FULL, LABELS, Datamart
@@ -20,7 +20,7 @@ from riskmart.sources.snapshots import write_result
 class Evaluation:
     """A fitted model and small result tables; ``split`` is train or test in those that have it."""
 
-    model: DefaultModel
+    model: DefaultModel | NewtonModel
     metrics: DataFrame
     coefficients: DataFrame
     labels: DataFrame
@@ -35,20 +35,24 @@ def train_evaluate(
     train_end: str = "2024-06-01",
     max_iter: int = 1000,
     exact: bool = True,
+    solver: str = "lbfgs",
 ) -> Evaluation:
     """Fit on labels observed up to ``train_end`` and evaluate before and after it.
 
     The joined rows are written once, since fitting reads them many times, and so are the
     scores. A column without a value in any training row, such as a clickstream feature that began
     later, cannot be fitted and is left out of the model. ``exact=False`` estimates the clip bounds and medians in one aggregate.
+    ``solver`` is lbfgs, or newton for the optimum itself in a few passes.
     """
+    if solver not in ("lbfgs", "newton"):
+        raise ValueError(f"no solver {solver}")
     spark = features.sparkSession
     with Staging(spark) as staging:
         merged = staging.table(training_set(features, labels), "training")
         check_split(merged, train_end)
         train, _ = chronological_split(merged, train_end)
         names = columns_with_values(train, feature_columns(merged))
-        model = fit_model(train, names, max_iter, exact=exact)
+        model = fit_newton(train, names, exact=exact) if solver == "newton" else fit_model(train, names, max_iter, exact=exact)
 
         is_train = F.col("label_obs_date") <= F.lit(train_end).cast("date")
         split = F.when(is_train, "train").otherwise("test")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskmart.operators import metrics, model, training
+from riskmart.operators import newton as solver
 
 FEATURES = ["a", "b", "c", "constant"]
 
@@ -69,6 +70,34 @@ def test_coefficients_equal_a_newton_solve(spark, train):
     assert scored.filter((F.col("probability") > 0.5) != (F.col("prediction") == 1)).count() == 0
 
 
+def test_newton_steps_reach_the_optimum(spark, train):
+    frame, df = train
+    fitted = model.fit_newton(df, FEATURES)
+    want = newton(prepared(frame)[1], frame.label.to_numpy(), 1.0)
+    np.testing.assert_allclose(fitted.beta, [want[-1], *want[:-1]], atol=1e-9)
+    scored = fitted.score(df)
+    assert scored.columns == [*df.columns, "probability", "prediction"]
+    other = model.fit_model(df, FEATURES, tolerance=1e-10).score(df).withColumnRenamed("probability", "other").drop("prediction")
+    close = fitted.score(other)
+    assert close.agg(F.max(F.abs(F.col("probability") - F.col("other")))).first()[0] < 1e-4
+    assert fitted.coefficients(spark).count() == len(FEATURES)
+
+
+def test_newton_halves_steps_that_go_too_far(spark):
+    # One far row that a whole step from zero overshoots; with next to no penalty the optimum is remote.
+    rows = [([x], float(x > 0.1), w) for x, w in [(-0.1, 1.0), (0.1, 1.0), (0.2, 1.0), (0.05, 3.0), (40.0, 1.0), (-30.0, 500.0), (35.0, 400.0)]]
+    beta = solver.fit(spark.createDataFrame(rows, "x array<double>, label double, weight double").repartition(20), 1, 1e-4)
+    x, y, w = (np.array(v) for v in zip(*[(r[0][0], r[1], r[2]) for r in rows]))
+    p = 1 / (1 + np.exp(-(beta[0] + beta[1] * x)))
+    assert abs((w * (p - y)).sum()) < 1e-6 and abs((w * (p - y) * x).sum() + 1e-4 * beta[1]) < 1e-6
+
+
+def test_newton_tells_when_it_does_not_settle(spark):
+    rows = spark.createDataFrame([([float(i)], float(i % 3 == 0), 1.0) for i in range(30)], "x array<double>, label double, weight double")
+    with pytest.raises(RuntimeError, match="2 passes"):
+        solver.fit(rows, 1, 1.0, most_steps=2)
+
+
 def test_approximate_statistics_are_close(train):
     frame, df = train
     for exact, rough in zip(model.fit_stats(df, FEATURES), model.fit_stats(df, FEATURES, exact=False)):
