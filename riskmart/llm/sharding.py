@@ -8,14 +8,17 @@ order out in turn gives shards whose counts differ by one at most, with gapless
 
 Defined results: a null text has no bytes and a size of 8; a null doc_id is scattered by text and input
 partition, so many of them do not meet in one bucket; repeated rows each get a place of their
-own; an empty table gives no rows; extra columns travel along, and where their names clash with
-``shard`` or ``slot`` the shuffle's columns win. The order depends on the rows and the seed alone
+own; an empty table gives no rows; extra columns travel along under any name, dots included, and where they clash with
+``shard`` or ``slot`` the shuffle's columns win. Rows alike in id and text are told apart by their other columns
+(by maps and variants they are not). The order depends on the rows and the seed alone
 (for null ids also on the input partition), never on the order of arrival, so a task that is run
 again gives the same order.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -40,13 +43,16 @@ def shuffled_buckets(docs: DataFrame, seed: int = SEED, bucket_bytes: int = BUCK
     buckets = max(1, -(-total // bucket_bytes))
     content = F.xxhash64("text")
     scatter = F.when(F.col("doc_id").isNull(), F.spark_partition_id()).otherwise(0)
+    others = [f"`{f.name}`" for f in docs.schema if f.name not in ("doc_id", "text") and not re.search("map|variant", f.dataType.simpleString())]
+    by = F.struct(F.xxhash64(F.lit(seed + 1), "doc_id", content).alias("rows"), F.xxhash64(F.lit(seed), *others).alias("alike"))
     rows = docs.select(
-        F.pmod(F.xxhash64(F.lit(seed), "doc_id", content, scatter), F.lit(buckets)).alias("bucket"),
-        F.struct(F.xxhash64(F.lit(seed + 1), "doc_id", content).alias("by"), F.struct("*").alias("row")).alias("entry"),
+        F.pmod(F.xxhash64(F.lit(seed), "doc_id", content, scatter), F.lit(buckets)).cast("int").alias("bucket"),
+        F.struct(by.alias("by"), F.struct("*").alias("row")).alias("entry"),
     )
     parts = int(max(1, min(buckets, max(buckets // 4, rows.sparkSession.sparkContext.defaultParallelism))))
     gathered = (
-        rows.repartition(parts, "bucket")
+        # Buckets go to partitions in turn, so none gets many more than another.
+        rows.repartitionById(parts, F.col("bucket"))
         .groupBy("bucket")
         .agg(F.collect_list("entry").alias("entries"))
         # Buckets of a partition in a fixed order, each in a fixed order: the same draw on every run.
@@ -82,19 +88,15 @@ def external_shuffle(
 ) -> DataFrame:
     """All records with ``shard`` and ``slot``; the shuffled buckets are written under ``staging``."""
     placed = staging.table(shuffled_buckets(docs, seed, bucket_bytes), "buckets")
-    return dealt(placed, shards, [F.col(f"row.{c}").alias(c) for c in docs.columns if c not in ("shard", "slot")])
+    named = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
+    return dealt(placed, shards).select(*[F.col("row").getField(c).alias(c) for c in named], "shard", "slot")
 
 
-def dealt(placed: DataFrame, shards: int, columns: list[Column]) -> DataFrame:
-    """The order of the buckets dealt out in turn: ``columns`` of each record, its shard and slot."""
-    rank = F.col("_first") + F.col("_pos")
-    offsets = bucket_offsets(placed).select(F.col("bucket").alias("_bucket"), F.col("first").alias("_first"))
-    return (
-        placed.select(F.col("bucket").alias("_bucket"), F.col("pos").alias("_pos"), *columns)
-        .join(offsets, "_bucket")
-        .withColumn("shard", F.pmod(rank, F.lit(shards)).cast("int"))
-        .withColumn("slot", ((rank - F.pmod(rank, F.lit(shards))) / shards).cast("long"))
-        .drop("_bucket", "_pos", "_first")
+def dealt(placed: DataFrame, shards: int) -> DataFrame:
+    """The order of the buckets dealt out in turn: each record as ``row``, its shard and slot."""
+    rank = F.col("first") + F.col("pos")
+    return placed.join(bucket_offsets(placed), "bucket").select(
+        "row", F.pmod(rank, F.lit(shards)).cast("int").alias("shard"), ((rank - F.pmod(rank, F.lit(shards))) / shards).cast("long").alias("slot")
     )
 
 
@@ -111,14 +113,12 @@ def op9_sharding(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     placed = staging.table(shuffled_buckets(docs), "buckets")
     text = F.col("row.text")
-    return dealt(
-        placed,
-        SHARDS,
-        [
-            F.col("row.doc_id").alias("doc_id"),
-            record_bytes(text).alias("size"),
-            F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
-        ],
-    ).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    return dealt(placed, SHARDS).select(
+        F.col("row.doc_id").alias("doc_id"),
+        record_bytes(text).alias("size"),
+        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
     )
