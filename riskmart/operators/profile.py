@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from itertools import combinations_with_replacement
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -123,18 +126,66 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return counts.orderBy("column", F.desc("row_count"), "category")
 
 
+COMOMENT = ["n", "mean_a", "mean_b", "aa", "bb", "ab"]
+
+
+def _comoment(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Count, means, and sums of squares and products of the deviations from these."""
+    if not len(a):
+        return np.zeros(len(COMOMENT))
+    with np.errstate(invalid="ignore"):
+        # The mean of equal values is that value, so they have no deviation at all.
+        first_a, first_b = a[0], b[0]
+        mean_a, mean_b = first_a + (a - first_a).mean(), first_b + (b - first_b).mean()
+        da, db = a - mean_a, b - mean_b
+        return np.array([len(a), mean_a, mean_b, da @ da, db @ db, da @ db])
+
+
+def _merged(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """The state of the rows of both."""
+    if not p[0] or not q[0]:
+        return q if not p[0] else p
+    with np.errstate(invalid="ignore"):
+        n = p[0] + q[0]
+        da, db = q[1] - p[1], q[2] - p[2]
+        share = p[0] * q[0] / n
+        return np.array([n, p[1] + da * q[0] / n, p[2] + db * q[0] / n,
+                         p[3] + q[3] + da * da * share, p[4] + q[4] + db * db * share, p[5] + q[5] + da * db * share])
+
+
 def correlation(df: DataFrame, columns: list[str] = CORRELATED) -> DataFrame:
     """Pearson matrix as rows, each pair over the rows in which both columns are known.
 
     Null where a column does not vary over those rows.
     """
-    values = df.select([F.col(c).cast("double").alias(c) for c in columns])
-    # One row per pair and input row, which never leaves the partial aggregate.
     pairs = list(combinations_with_replacement(columns, 2))
-    entries = [F.struct(F.lit(i).alias("i"), F.col(a).alias("a"), F.col(b).alias("b")) for i, (a, b) in enumerate(pairs)]
-    known = values.select(F.inline(F.array(*entries))).filter("a is not null and b is not null")
-    r = F.try_divide(F.covar_pop("a", "b"), F.stddev_pop("a") * F.stddev_pop("b"))
-    found = known.groupBy("i").agg(r.alias("r"))
+    values = df.select([F.col(c).cast("double").alias(f"c{k}") for k, c in enumerate(columns)])
+    places = list(combinations_with_replacement(range(len(columns)), 2))
+
+    def comoments(batches):
+        total = np.zeros((len(places), 6))
+        for batch in batches:
+            known = [~pc.is_null(column).to_numpy(zero_copy_only=False) for column in batch.columns]
+            x = [pc.fill_null(column, 0.0).to_numpy(zero_copy_only=False) for column in batch.columns]
+            for i, (a, b) in enumerate(places):
+                both = known[a] & known[b]
+                total[i] = _merged(total[i], _comoment(x[a][both], x[b][both]))
+        met = [i for i in range(len(places)) if total[i, 0]]
+        arrays = [pa.array(met, pa.int32()), *[pa.array(total[met, k]) for k in range(6)]]
+        yield pa.RecordBatch.from_arrays(arrays, ["i", *COMOMENT])
+
+    # One row per pair and task, each with the state of the task's rows.
+    states = settled(values.mapInArrow(comoments, "i int, " + ", ".join(f"{c} double" for c in COMOMENT)))
+    # Counted from the least mean, so that equal means leave no deviation.
+    weighted = [(F.min(c) + F.try_divide(F.sum(F.col("n") * (F.col(c) - F.col(f"least_{c}"))), F.sum("n"))).alias(f"all_{c}") for c in ("mean_a", "mean_b")]
+    least = states.groupBy("i").agg(*[F.min(c).alias(f"least_{c}") for c in ("mean_a", "mean_b")])
+    apart_a, apart_b = F.col("mean_a") - F.col("all_mean_a"), F.col("mean_b") - F.col("all_mean_b")
+    moved = states.join(states.join(least, "i").groupBy("i").agg(*weighted), "i").groupBy("i").agg(
+        F.sum(F.col("aa") + F.col("n") * apart_a * apart_a).alias("aa"),
+        F.sum(F.col("bb") + F.col("n") * apart_b * apart_b).alias("bb"),
+        F.sum(F.col("ab") + F.col("n") * apart_a * apart_b).alias("ab"),
+    )
+    found = moved.select("i", F.try_divide("ab", F.sqrt("aa") * F.sqrt("bb")).alias("r"))
 
     cells = [F.struct(F.lit(i).alias("i"), F.lit(a).alias("column_a"), F.lit(b).alias("column_b"))
              for i, pair in enumerate(pairs) for a, b in sorted({pair, pair[::-1]})]
