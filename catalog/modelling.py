@@ -123,8 +123,7 @@ def class_report(spark: SparkSession, sf_dir: str) -> DataFrame:
           from (select probability, count(case when label = 1 then 1 end) as positives,
                        count(case when label = 0 then 1 end) as negatives from scored group by probability))"""))
 def auc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    area = metrics.roc_auc(scored(spark, sf_dir))
-    return spark.createDataFrame([(area,)], "roc_auc double").select(F.round("roc_auc", 8).alias("roc_auc"))
+    return metrics.area_under_roc(scored(spark, sf_dir)).select(F.round("roc_auc", 8).alias("roc_auc"))
 
 
 def evaluated(spark: SparkSession, sf_dir: str, solver: str = "lbfgs") -> Evaluation:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskmart.sources.scratch import settled
+from riskmart.sources.scratch import Staging, settled
 
 
 def accuracy(scored: DataFrame) -> DataFrame:
@@ -14,12 +13,40 @@ def accuracy(scored: DataFrame) -> DataFrame:
     return scored.agg(F.avg(hit).alias("accuracy"))
 
 
+def area_under_roc(scored: DataFrame) -> DataFrame:
+    """One row ``roc_auc``: the chance that a positive row scores above a negative one, ties counting half.
+
+    Rows without a label or a score are left out, NaN ranks above every number, and without both classes the area is null.
+    Counts of the distinct scores are dealt over ranges of the score. A score has below it the negatives of the ranges before
+    its own, one small running sum, and those of its own range that are lower, one running sum for each range; so no task
+    orders all scores.
+    """
+    with Staging(scored.sparkSession) as staging:
+        positive = F.col("label") > 0.5
+        known = scored.filter(F.col("label").isNotNull() & F.col("probability").isNotNull())
+        counts = known.groupBy("probability").agg(
+            F.count_if(positive).cast("double").alias("positives"), F.count_if(~positive).cast("double").alias("negatives")
+        )
+        parts = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        # Written with the range, as a second look at it must find the same ranges.
+        ranged = staging.table(
+            counts.repartitionByRange(parts, "probability").withColumn("range", F.spark_partition_id()), "scores"
+        )
+        lower = F.sum("negatives").over(Window.partitionBy("range").orderBy("probability")) - F.col("negatives")
+        inside = ranged.withColumn("area", F.col("positives") * (lower + F.col("negatives") / 2))
+        ranges = inside.groupBy("range").agg(*[F.sum(c).alias(c) for c in ("area", "positives", "negatives")])
+        # One row for each range from here on.
+        before = F.sum("negatives").over(Window.orderBy("range")) - F.col("negatives")
+        area = F.sum(F.col("area") + F.col("positives") * F.col("before"))
+        pairs = F.sum("positives") * F.sum("negatives")
+        result = ranges.withColumn("before", before).agg(F.try_divide(area, pairs).alias("roc_auc"))
+        return scored.sparkSession.createDataFrame(result.collect(), "roc_auc double")
+
+
 def roc_auc(scored: DataFrame) -> float:
-    """Area under the ROC curve through every distinct score."""
-    evaluator = BinaryClassificationEvaluator(
-        rawPredictionCol="probability", labelCol="label", metricName="areaUnderROC", numBins=0
-    )
-    return evaluator.evaluate(scored.select("probability", F.col("label").cast("double").alias("label")))
+    """Area under the ROC curve through every distinct score; NaN without rows of both classes."""
+    area = area_under_roc(scored).first()[0]
+    return float("nan") if area is None else area
 
 
 def confusion(scored: DataFrame) -> DataFrame:

@@ -130,6 +130,29 @@ def test_auc_is_the_rank_sum(spark):
     assert metrics.roc_auc(df) == pytest.approx(want, abs=1e-12)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_auc_counts_pairs(spark, seed):
+    """Against all pairs, with ties, infinities, both zeros, NaN on top, and rows that lack a label or a score."""
+    rng = np.random.default_rng(seed)
+    inf, nan = float("inf"), float("nan")
+    pool = [-inf, -1.5, -0.0, 0.0, 0.25, 0.25 + 2**-53, 1e300, inf, nan]
+    rows = [(pool[i], int(label)) for i, label in zip(rng.integers(0, len(pool), 300), rng.integers(0, 2, 300))]
+
+    def order(x):
+        return (1, 0.0) if x != x else (0, x)
+
+    pairs = [(order(a), order(b)) for a, one in rows if one for b, other in rows if not other]
+    want = sum(1 if a > b else 0.5 if a == b else 0 for a, b in pairs) / len(pairs)
+    df = spark.createDataFrame([*rows, (None, 1), (0.5, None)], "probability double, label int")
+    assert metrics.roc_auc(df) == pytest.approx(want, abs=1e-12)
+
+
+def test_auc_without_both_classes(spark):
+    for rows in ([], [(0.5, 1), (0.1, 1)], [(0.5, 0)]):
+        df = spark.createDataFrame(rows, "probability double, label int")
+        assert metrics.area_under_roc(df).collect() == [(None,)] and np.isnan(metrics.roc_auc(df))
+
+
 def test_report(spark):
     rows = [(0, 0)] * 5 + [(0, 1)] * 2 + [(1, 1)] * 3
     df = spark.createDataFrame(rows, "label int, prediction int")
