@@ -1,8 +1,18 @@
-"""Reading and writing tables that are partitioned by snapshot date."""
+"""Reading and writing tables that are partitioned by snapshot date.
+
+A write first puts its rows into a folder beside the snapshots, then notes in a journal which snapshots it replaces and removes,
+then moves the folders. Until the journal is there the table is as before, from then on it is as after: readers take a snapshot
+that is not moved yet from where it waits, and the next write to the table first ends the moves, or removes
+rows that never got a journal. A table has one writer at a time.
+"""
 
 from __future__ import annotations
 
 import csv
+import json
+import uuid
+from collections.abc import Iterable
+from dataclasses import asdict, dataclass, field
 from datetime import date
 from functools import reduce
 
@@ -16,6 +26,10 @@ from riskmart.sources.scratch import delete_path, hadoop_path
 # Text cells keep their blanks on the way out as on the way in; an empty cell is null.
 CSV_OPTIONS = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
+_PREFIX = f"{SNAPSHOT}="
+# Names that no reader of the table opens.
+_PENDING, _JOURNAL = "_pending", "_journal"
+
 
 def read_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Raw CSV with a header, every column as text, columns matched by header name."""
@@ -74,12 +88,82 @@ def snapshot_range(df: DataFrame, start: str | None = None, end: str | None = No
 
 def stored_snapshots(spark: SparkSession, root: str) -> dict[str, str]:
     """Path of each stored snapshot by its ISO date, from the folder names alone."""
+    root = root.rstrip("/")
+    journal = _journal(spark, root)
+    waiting = journal.waiting(spark, root)
+    paths = {name: path for name, path in _folders(spark, root).items() if name not in journal.removed} | waiting
+    return {name.removeprefix(_PREFIX): path for name, path in paths.items()}
+
+
+@dataclass(frozen=True)
+class _Journal:
+    """Folder names that a write replaces from ``pending``, and those that it removes."""
+
+    pending: str = ""
+    replaced: list[str] = field(default_factory=list)
+    removed: list[str] = field(default_factory=list)
+
+    def waiting(self, spark: SparkSession, root: str) -> dict[str, str]:
+        """Path of each new folder that is not moved yet."""
+        return _folders(spark, f"{root}/{self.pending}") if self.replaced else {}
+
+
+def _folders(spark: SparkSession, root: str) -> dict[str, str]:
+    """Path of each snapshot folder by its name."""
     system, location = hadoop_path(spark, root)
     if not system.exists(location):
         return {}
-    prefix = f"{SNAPSHOT}="
     paths = [status.getPath() for status in system.listStatus(location)]
-    return {p.getName()[len(prefix):]: p.toString() for p in paths if p.getName().startswith(prefix)}
+    return {p.getName(): p.toString() for p in paths if p.getName().startswith(_PREFIX)}
+
+
+def _journal(spark: SparkSession, root: str) -> _Journal:
+    system, location = hadoop_path(spark, f"{root}/{_JOURNAL}")
+    if not system.exists(location):
+        return _Journal()
+    stream = system.open(location)
+    try:
+        return _Journal(**json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+    finally:
+        stream.close()
+
+
+def _note(spark: SparkSession, root: str, journal: _Journal) -> None:
+    """Write the journal under another name and rename it, so that it is there whole or not at all."""
+    system, draft = hadoop_path(spark, f"{root}/{journal.pending}/{_JOURNAL}")
+    stream = system.create(draft, True)
+    stream.writeBytes(json.dumps(asdict(journal)))
+    stream.close()
+    _move(spark, draft.toString(), f"{root}/{_JOURNAL}")
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    system, old = hadoop_path(spark, source)
+    if not system.rename(old, hadoop_path(spark, target)[1]):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def settle_writes(spark: SparkSession, root: str, keep: str | None = None) -> None:
+    """End the moves of a write that stopped after its journal, and remove the rows of one that stopped before.
+
+    ``keep`` is the folder of a write under way.
+    """
+    root = root.rstrip("/")
+    journal = _journal(spark, root)
+    # A folder that waits no more was moved; one that still waits replaces whatever is in its place.
+    for name, path in journal.waiting(spark, root).items():
+        delete_path(spark, f"{root}/{name}")
+        _move(spark, path, f"{root}/{name}")
+    for name in journal.removed:
+        delete_path(spark, f"{root}/{name}")
+    delete_path(spark, f"{root}/{_JOURNAL}")
+    if keep is None:
+        delete_path(spark, f"{root}/{_PENDING}")
+        return
+    system, location = hadoop_path(spark, f"{root}/{_PENDING}")
+    for status in system.listStatus(location):
+        if f"{_PENDING}/{status.getPath().getName()}" != keep:
+            delete_path(spark, status.getPath().toString())
 
 
 def write_snapshots(
@@ -88,6 +172,7 @@ def write_snapshots(
     fmt: str = "parquet",
     rebalance: bool = False,
     span: tuple[str, str] | None = None,
+    days: Iterable[str] = (),
 ) -> None:
     """Replace exactly the snapshots in ``df``; the others under ``root`` stay as they are.
 
@@ -96,26 +181,27 @@ def write_snapshots(
     snapshots over many files and merges small ones. Rows read from a snapshot table are
     grouped already and are written without a shuffle.
 
-    ``span`` names the (start, end) a rerun covers: a stored snapshot within it that has no
+    ``span`` names the (start, end) a rerun covers, ``days`` single snapshots: a stored snapshot among them that has no
     rows any more is removed, so the rerun leaves what a first run would have left.
+
+    All of it takes effect at once, also if the write stops midway (see the top of this module).
     """
     spark = df.sparkSession
-    stored = stored_snapshots(spark, root) if span is not None else {}
-    before = {path: _files(spark, path) for day, path in stored.items() if in_span(day, *span)}
+    root = root.rstrip("/")
+    days = set(days)
+    covered = {day for day in stored_snapshots(spark, root) if day in days or (span is not None and in_span(day, *span))}
+    pending = f"{_PENDING}/{uuid.uuid4().hex}"
     grouped = df.hint("rebalance", SNAPSHOT) if rebalance else df
-    writer = grouped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(SNAPSHOT)
+    writer = grouped.write.partitionBy(SNAPSHOT)
     if fmt == "csv":
         writer = writer.options(**CSV_OPTIONS)
-    writer.format(fmt).save(root)
-    # File names are new with every write, so a folder with the same names was not replaced.
-    for path, names in before.items():
-        if _files(spark, path) == names:
-            delete_path(spark, path)
-
-
-def _files(spark: SparkSession, path: str) -> set[str]:
-    system, location = hadoop_path(spark, path)
-    return {status.getPath().getName() for status in system.listStatus(location)}
+    writer.format(fmt).save(f"{root}/{pending}")
+    # Only now, as the rows may have been read from where an earlier write left them.
+    settle_writes(spark, root, keep=pending)
+    replaced = sorted(_folders(spark, f"{root}/{pending}"))
+    removed = sorted({f"{_PREFIX}{day}" for day in covered} - set(replaced))
+    _note(spark, root, _Journal(pending, replaced, removed))
+    settle_writes(spark, root)
 
 
 def in_span(day: str, start: str | None = None, end: str | None = None) -> bool:
@@ -139,7 +225,12 @@ def read_snapshots(
 
     Parquet may bring its own ``schema``. The snapshot column is a date either way.
     """
-    if not stored_snapshots(spark, root):
+    root = root.rstrip("/")
+    journal = _journal(spark, root)
+    waiting = journal.waiting(spark, root)
+    hidden = {*waiting, *journal.removed}
+    sources = [path for path, names in ((root, _folders(spark, root).keys() - hidden), (f"{root}/{journal.pending}", waiting)) if names]
+    if not sources:
         raise FileNotFoundError(f"no snapshots under {root}")
     reader = spark.read.format(fmt)
     if schema is not None:
@@ -147,8 +238,11 @@ def read_snapshots(
         reader = reader.schema(T.StructType([*fields, T.StructField(SNAPSHOT, T.DateType())]))
     if fmt == "csv":
         reader = reader.options(**CSV_OPTIONS)
-    df = reader.load(root)
-    return snapshot_range(df.withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("date")), start, end)
+    parts = [reader.load(path).withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("date")) for path in sources]
+    if hidden and sources[0] == root:
+        name = F.concat(F.lit(_PREFIX), F.coalesce(F.col(SNAPSHOT).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")))
+        parts[0] = parts[0].filter(~name.isin(sorted(hidden)))
+    return snapshot_range(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), start, end)
 
 
 def write_result(df: DataFrame, path: str) -> None:

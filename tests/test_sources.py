@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from riskmart.schemas import RAW_ATTRIBUTES
 from riskmart.sources.calendar import snapshot_calendar
 from riskmart.sources.scratch import Staging, settled, shared_folder
+from riskmart.sources import snapshots
 from riskmart.sources.snapshots import (
     read_raw,
     read_snapshots,
@@ -42,6 +43,82 @@ def test_rerun_replaces_only_its_snapshots(spark, tmp_path, fmt):
     ]
 
 
+class Stopped(Exception):
+    pass
+
+
+def stop_at(monkeypatch, name, call):
+    """Stop the next write at the given call of a step."""
+    step, calls = getattr(snapshots, name), []
+
+    def stopping(*args, **kwargs):
+        calls.append(args)
+        if len(calls) == call:
+            raise Stopped
+        return step(*args, **kwargs)
+
+    monkeypatch.setattr(snapshots, name, stopping)
+
+
+def content(df):
+    return sorted((r["v"], str(r["snapshot_date"])) for r in df.collect())
+
+
+# Moves and deletions in the order of a write: all up to the move of the journal into its place, and all after it.
+STEPS = [("_note", 1, "before"), ("_move", 1, "before"), ("delete_path", 1, "before"), ("_move", 2, "after"), ("_move", 3, "after"),
+         *[("delete_path", i, "after") for i in range(2, 7)]]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+@pytest.mark.parametrize("name, call, state", STEPS)
+def test_a_stopped_write_leaves_one_state(spark, tmp_path, monkeypatch, fmt, name, call, state):
+    root = str(tmp_path / "t")
+    df = months(spark, ("a", "2023-01-01"), ("b", "2023-02-01"), ("c", "2023-03-01"), ("d", "2023-05-01"))
+    write_snapshots(df, root, fmt)
+    rerun = months(spark, ("x", "2023-02-01"), ("y", "2023-04-01"))
+    with monkeypatch.context() as patch:
+        stop_at(patch, name, call)
+        with pytest.raises(Stopped):
+            write_snapshots(rerun, root, fmt, span=("2023-02-01", "2023-04-01"))
+    before = [("a", "2023-01-01"), ("b", "2023-02-01"), ("c", "2023-03-01"), ("d", "2023-05-01")]
+    after = [("a", "2023-01-01"), ("d", "2023-05-01"), ("x", "2023-02-01"), ("y", "2023-04-01")]
+    want = before if state == "before" else after
+    read = read_snapshots(spark, root, fmt, df.schema)
+    assert content(read) == want
+    assert sorted(stored_snapshots(spark, root)) == sorted(day for _, day in want)
+    if fmt == "parquet":
+        # The next write, of rows read from where the stopped one left them, settles it.
+        write_snapshots(read.filter("snapshot_date = '2023-02-01'").withColumn("v", F.upper("v")), root)
+        want = [(v.upper() if day == "2023-02-01" else v, day) for v, day in want]
+    else:
+        snapshots.settle_writes(spark, root)
+    assert content(read_snapshots(spark, root, fmt, df.schema)) == sorted(want)
+    assert {p.name for p in (tmp_path / "t").iterdir()} == {f"snapshot_date={day}" for _, day in want}
+
+
+def test_a_first_write_that_stopped(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    for name, call, found in (("_note", 1, False), ("_move", 2, True)):
+        with monkeypatch.context() as patch:
+            stop_at(patch, name, call)
+            with pytest.raises(Stopped):
+                write_snapshots(months(spark, ("a", "2023-01-01")), root)
+        assert bool(stored_snapshots(spark, root)) == found
+    assert content(read_snapshots(spark, root)) == [("a", "2023-01-01")]
+
+
+def test_rows_without_a_snapshot_are_replaced_and_removed_by_day(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    write_snapshots(spark.createDataFrame([("a", None), ("b", date(2023, 1, 1))], "v string, snapshot_date date"), root)
+    with monkeypatch.context() as patch:
+        stop_at(patch, "_move", 2)
+        with pytest.raises(Stopped):
+            write_snapshots(spark.createDataFrame([("n", None)], "v string, snapshot_date date"), root, days=["2023-01-01", "2023-02-01"])
+    assert content(read_snapshots(spark, root)) == [("n", "None")]
+    snapshots.settle_writes(spark, root)
+    assert content(read_snapshots(spark, root)) == [("n", "None")]
+
+
 def test_csv_keeps_blanks_and_reads_empty_cells_as_null(spark, tmp_path):
     root = str(tmp_path / "t")
     df = months(spark, (" b ", "2023-01-01"), (None, "2023-01-01"), ("", "2023-01-01"), ('say "hi", ok', "2023-01-01"))
