@@ -33,7 +33,7 @@ from riskmart.operators.silver import (
 from riskmart.plans.states import range_quantiles, refresh
 from riskmart.schemas import RAW_SCHEMAS, SNAPSHOT
 from riskmart.sources.scratch import Staging
-from riskmart.sources.snapshots import read_raw, read_snapshots, snapshot_range, stored_snapshots, write_snapshots
+from riskmart.sources.snapshots import footer_counts, read_raw, read_snapshots, snapshot_range, stored_snapshots, write_snapshots
 
 
 def silver_loans(raw: DataFrame) -> DataFrame:
@@ -51,38 +51,49 @@ LABELS, BASELINE, FULL = "label_store", "features_baseline", "features_full"
 
 @dataclass(frozen=True)
 class Datamart:
-    """Where the layers live, and the dates a run covers (both included)."""
+    """Where the layers live, and the dates a run covers: all between two (both included), or only ``days`` of them."""
 
     spark: SparkSession
     root: str
     start: str
     end: str
+    days: tuple[str, ...] | None = None
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
-    @property
-    def span(self) -> tuple[str, str]:
-        return self.start, self.end
+    def covers(self, day: str) -> bool:
+        return self.start <= day <= self.end and (self.days is None or day in self.days)
+
+    def within(self, df: DataFrame) -> DataFrame:
+        """Rows of the snapshots that the run covers."""
+        rows = snapshot_range(df, self.start, self.end)
+        return rows if self.days is None else in_snapshots(rows, self.days)
 
     def bronze(self, table: str) -> DataFrame:
-        return read_snapshots(
-            self.spark, self.path("bronze", table), "csv", RAW_SCHEMAS[table], self.start, self.end
-        )
+        return self.within(read_snapshots(self.spark, self.path("bronze", table), "csv", RAW_SCHEMAS[table]))
 
     def silver(self, table: str) -> DataFrame:
-        return read_snapshots(self.spark, self.path("silver", table), start=self.start, end=self.end)
+        return self.within(read_snapshots(self.spark, self.path("silver", table)))
 
     def gold(self, table: str) -> DataFrame:
-        return read_snapshots(self.spark, self.path("gold", table), start=self.start, end=self.end)
+        return self.within(read_snapshots(self.spark, self.path("gold", table)))
+
+    def write(self, df: DataFrame, layer: str, table: str, fmt: str = "parquet", rebalance: bool = False) -> None:
+        """Replace the snapshots that the run covers."""
+        covered = {"span": (self.start, self.end)} if self.days is None else {"days": self.days}
+        write_snapshots(df, self.path(layer, table), fmt, rebalance, **covered)
 
 
 def land_bronze(mart: Datamart, raw: dict[str, DataFrame]) -> None:
     """The raw tables (all text) stored by snapshot."""
     for table, df in raw.items():
-        dated = df.select(*RAW_SCHEMAS[table].names).withColumn(SNAPSHOT, F.col(SNAPSHOT).try_cast("date"))
-        rows = snapshot_range(dated, mart.start, mart.end)
-        write_snapshots(rows, mart.path("bronze", table), "csv", rebalance=True, span=mart.span)
+        mart.write(mart.within(dated(df, table)), "bronze", table, "csv", rebalance=True)
+
+
+def dated(raw: DataFrame, table: str) -> DataFrame:
+    """Raw rows with their snapshot as a date, null where it is none."""
+    return raw.select(*RAW_SCHEMAS[table].names).withColumn(SNAPSHOT, F.col(SNAPSHOT).try_cast("date"))
 
 
 def read_sources(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
@@ -93,7 +104,7 @@ def read_sources(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFr
 def build_silver(mart: Datamart, tables: Iterable[str] = tuple(SILVER)) -> None:
     """Cleaned and typed tables; a row keeps its snapshot, so nothing is shuffled."""
     for table in tables:
-        write_snapshots(SILVER[table](mart.bronze(table)), mart.path("silver", table), span=mart.span)
+        mart.write(SILVER[table](mart.bronze(table)), "silver", table)
 
 
 def build_states(mart: Datamart, tables: Iterable[str] = ("financials", "clickstream")) -> dict[str, list[str]]:
@@ -113,8 +124,7 @@ def silver_quantiles(mart: Datamart, table: str, probabilities: list[float], by:
 
 
 def build_labels(mart: Datamart, dpd: int = DPD_THRESHOLD, mob: int = MONTH_ON_BOOK) -> None:
-    labels = label_store(mart.silver("loan_daily"), dpd, mob)
-    write_snapshots(labels, mart.path("gold", LABELS), span=mart.span)
+    mart.write(label_store(mart.silver("loan_daily"), dpd, mob), "gold", LABELS)
 
 
 def build_features(
@@ -128,13 +138,13 @@ def build_features(
     """
     with Staging(mart.spark) as staging:
         base = staging.table(join_attributes(mart.silver("financials"), mart.silver("attributes")), "base", SNAPSHOT)
-        write_snapshots(feature_table(base, exact), mart.path("gold", BASELINE), span=mart.span)
+        mart.write(feature_table(base, exact), "gold", BASELINE)
 
-        valid = [day for day in clickstream_snapshots if mart.start <= day <= mart.end]
+        valid = [day for day in clickstream_snapshots if mart.covers(day)]
         if valid:
             joined = join_clickstream(in_snapshots(base, valid), in_snapshots(mart.silver("clickstream"), valid))
             full = staging.table(pad_clickstream(joined), "full", SNAPSHOT)
-            write_snapshots(feature_table(full, exact), mart.path("gold", FULL), span=mart.span)
+            mart.write(feature_table(full, exact), "gold", FULL)
 
 
 def clickstream_overlap(mart: Datamart) -> DataFrame:
@@ -164,11 +174,12 @@ def backfill(
 
 
 def layer_counts(mart: Datamart) -> DataFrame:
-    """Rows per stored table and snapshot of all three layers."""
-    tables = [(f"bronze/{t}", mart.bronze(t)) for t in SILVER] + [(f"silver/{t}", mart.silver(t)) for t in SILVER]
-    tables += [(f"gold/{t}", mart.gold(t)) for t in (LABELS, BASELINE, FULL) if stored_snapshots(mart.spark, mart.path("gold", t))]
-    counts = [snapshot_counts(df).withColumn("table", F.lit(name)) for name, df in tables]
-    return reduce(DataFrame.unionByName, counts)
+    """Rows per stored table and snapshot of all three layers; those of silver and gold come from file footers."""
+    counts = [(f"bronze/{t}", snapshot_counts(mart.bronze(t))) for t in SILVER]
+    stored = [("silver", t) for t in SILVER]
+    stored += [("gold", t) for t in (LABELS, BASELINE, FULL) if stored_snapshots(mart.spark, mart.path("gold", t))]
+    counts += [(f"{layer}/{t}", mart.within(footer_counts(mart.spark, mart.path(layer, t), mart.start, mart.end))) for layer, t in stored]
+    return reduce(DataFrame.unionByName, [df.withColumn("table", F.lit(name)) for name, df in counts])
 
 
 def unreadable_dates(raw: dict[str, DataFrame]) -> DataFrame:

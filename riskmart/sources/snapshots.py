@@ -161,7 +161,7 @@ def settle_writes(spark: SparkSession, root: str, keep: str | None = None) -> No
         delete_path(spark, f"{root}/{_PENDING}")
         return
     system, location = hadoop_path(spark, f"{root}/{_PENDING}")
-    for status in system.listStatus(location):
+    for status in system.listStatus(location) if system.exists(location) else []:
         if f"{_PENDING}/{status.getPath().getName()}" != keep:
             delete_path(spark, status.getPath().toString())
 
@@ -196,7 +196,20 @@ def write_snapshots(
     if fmt == "csv":
         writer = writer.options(**CSV_OPTIONS)
     writer.format(fmt).save(f"{root}/{pending}")
-    # Only now, as the rows may have been read from where an earlier write left them.
+    _commit(spark, root, pending, covered)
+
+
+def remove_snapshots(spark: SparkSession, root: str, days: Iterable[str]) -> None:
+    """Remove single stored snapshots, all at once."""
+    root = root.rstrip("/")
+    covered = set(days) & stored_snapshots(spark, root).keys()
+    if covered:
+        _commit(spark, root, f"{_PENDING}/{uuid.uuid4().hex}", covered)
+
+
+def _commit(spark: SparkSession, root: str, pending: str, covered: set[str]) -> None:
+    """Put the folders in ``pending`` into their places, and remove those of ``covered`` that it lacks."""
+    # An earlier write is settled only now, as the rows may have been read from where it left them.
     settle_writes(spark, root, keep=pending)
     replaced = sorted(_folders(spark, f"{root}/{pending}"))
     removed = sorted({f"{_PREFIX}{day}" for day in covered} - set(replaced))
@@ -245,6 +258,20 @@ def read_snapshots(
     return snapshot_range(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), start, end)
 
 
+def footer_counts(spark: SparkSession, root: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Rows of each stored Parquet snapshot (``row_count``), from the footers of its files: no column is read."""
+    # One row for each snapshot.
+    return spark.createDataFrame(footer_plan(spark, root, start, end).collect(), f"{SNAPSHOT} date, row_count long")
+
+
+def footer_plan(spark: SparkSession, root: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """The counts as a plan in a session of its own, as only the newer form of the Parquet reader takes the aggregate."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return read_snapshots(session, root, start=start, end=end).groupBy(SNAPSHOT).agg(F.count("*").alias("row_count"))
+
+
 def write_result(df: DataFrame, path: str) -> None:
     """A small result table (coefficients, metrics) as one CSV file with a header."""
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
