@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from catalog import query
 from catalog.views import MISSED_DAY, VALID_SNAPSHOTS, days_for_dates, duck, plain, raw, span
 from riskmart.operators.profile import snapshot_counts as count_snapshots
-from riskmart.plans import backfill
+from riskmart.plans import backfill, reruns
 from riskmart.schemas import CLICKSTREAM_FEATURES, RAW_SCHEMAS
 from riskmart.sources.calendar import month_starts
 from riskmart.sources.scratch import Staging
-from riskmart.sources.snapshots import read_snapshots, snapshot_range, write_snapshots
+from riskmart.sources.snapshots import footer_counts, read_snapshots, snapshot_range, write_snapshots
 
 
 @query(duck("""
@@ -37,6 +37,14 @@ def snapshot_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_snapshots(raw(spark, sf_dir, "orders_by_month"))
 
 
+@query(duck("select snapshot_date, count(*) as row_count from orders_by_month where snapshot_date >= date '1997-01-01' group by snapshot_date"))
+def stored_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of stored snapshots by their file footers."""
+    root = Staging(spark).path("orders")
+    write_snapshots(raw(spark, sf_dir, "orders_by_month"), root, rebalance=True)
+    return footer_counts(spark, root, start="1997-01-01")
+
+
 @query(duck("select * replace (cast(snapshot_date as date) as snapshot_date, nullif(paid_amt, '') as paid_amt) "
             "from raw_loans"))
 def roundtrip_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +87,20 @@ def backfill_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mart.gold(backfill.LABELS)
 
 
+@query(duck("""
+    select * replace (case when snapshot_date = date '1997-03-01' then 0 else label end as label),
+           snapshot_date = date '1997-03-01' as rebuilt from labels_mob6"""))
+def rerun_changed_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels from all months, then again after one month of loans was corrected; only that month is built again."""
+    mart = backfill.Datamart(spark, Staging(spark).root, *span(spark, sf_dir))
+    loans = raw(spark, sf_dir, "raw_loans")
+    reruns.refill(mart, {"loan_daily": loans})
+    paid = F.when(F.col("snapshot_date") == "1997-03-01", "0.00").otherwise(F.col("overdue_amt"))
+    rebuilt = reruns.refill(mart, {"loan_daily": loans.withColumn("overdue_amt", paid)})
+    again = F.col("snapshot_date").cast("string").isin(rebuilt[f"gold/{backfill.LABELS}"])
+    return mart.gold(backfill.LABELS).withColumn("rebuilt", again)
+
+
 def stored_features(spark: SparkSession, sf_dir: str) -> backfill.Datamart:
     mart = backfill.Datamart(spark, Staging(spark).root, *span(spark, sf_dir))
     tables = ["financials", "attributes", "clickstream"]
