@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from riskmart.functions import encoding
 from riskmart.operators import features, silver
 from riskmart.operators.joins import lookup
 from riskmart.schemas import CLICKSTREAM_FEATURES
+from riskmart.sources.bucketed import write_bucketed
 from riskmart.sources.scratch import Staging
 
 
@@ -52,6 +55,19 @@ def feature_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(base(spark, sf_dir))
 
 
+def bucketed(spark: SparkSession, sf_dir: str, source: str, buckets: int) -> DataFrame:
+    """The silver table of a feature source in buckets by customer, under a name of its own in the catalogue."""
+    name = f"{source}_{uuid.uuid4().hex}"
+    return write_bucketed(stored(spark, sf_dir, source), name, buckets, Staging(spark).path(name))
+
+
+@query(duck("select * from base"))
+def feature_base_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The joined base from bucketed tables; only their writing shuffles."""
+    financials, attributes = (bucketed(spark, sf_dir, source, 16) for source in ("financials", "attributes"))
+    return plain(features.join_attributes(financials, attributes))
+
+
 @query(duck("select * from full_base"))
 def feature_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(full_base(spark, sf_dir))

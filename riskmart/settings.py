@@ -12,3 +12,7 @@ RECOMMENDED = {
     # Dates are compared with dates; nothing may depend on the zone of a machine.
     "spark.sql.session.timeZone": "UTC",
 }
+
+# For sessions that join bucketed tables (sources/bucketed.py): rows that lie together by some of the join's keys are not shuffled
+# again by all of them.
+CO_LOCATED = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
