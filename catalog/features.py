@@ -64,7 +64,7 @@ def bucketed(spark: SparkSession, sf_dir: str, source: str, buckets: int) -> Dat
 @query(duck("select * from base"))
 def feature_base_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The joined base from bucketed tables; only their writing shuffles."""
-    financials, attributes = (bucketed(spark, sf_dir, source, 16) for source in ("financials", "attributes"))
+    financials, attributes = (bucketed(spark, sf_dir, source, 4) for source in ("financials", "attributes"))
     return plain(features.join_attributes(financials, attributes))
 
 
