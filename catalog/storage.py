@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import query
-from catalog.views import MISSED_DAY, VALID_SNAPSHOTS, days_for_dates, duck, plain, raw, span
+from catalog.views import MISSED_DAY, VALID_SNAPSHOTS, days_for_dates, duck, plain, raw, raws, span
 from riskmart.operators.profile import snapshot_counts as count_snapshots
 from riskmart.plans import backfill, reruns
 from riskmart.schemas import CLICKSTREAM_FEATURES, RAW_SCHEMAS
@@ -45,12 +45,17 @@ def stored_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return footer_counts(spark, root, start="1997-01-01")
 
 
+def datamart(spark: SparkSession, sf_dir: str, views: dict[str, DataFrame]) -> backfill.Datamart:
+    """An empty datamart of all months of the views."""
+    return backfill.Datamart(spark, Staging(spark).root, *span(spark, sf_dir, views["lines"]))
+
+
 @query(duck("select * replace (cast(snapshot_date as date) as snapshot_date, nullif(paid_amt, '') as paid_amt) "
             "from raw_loans"))
 def roundtrip_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text written by snapshot and read back; an empty cell comes back as null."""
-    mart = backfill.Datamart(spark, Staging(spark).root, *span(spark, sf_dir))
-    loans = raw(spark, sf_dir, "raw_loans")
+    views = raws(spark, sf_dir, ["lines", "raw_loans"])
+    mart, loans = datamart(spark, sf_dir, views), views["raw_loans"]
     backfill.land_bronze(mart, {"loan_daily": loans.withColumn("paid_amt", F.nullif("paid_amt", F.lit("")))})
     return mart.bronze("loan_daily").select(RAW_SCHEMAS["loan_daily"].names)
 
@@ -80,8 +85,9 @@ def overwrite_one_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(duck("select * from labels_mob6"))
 def backfill_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw loans to the stored label store through every layer."""
-    mart = backfill.Datamart(spark, Staging(spark).root, *span(spark, sf_dir))
-    backfill.land_bronze(mart, {"loan_daily": raw(spark, sf_dir, "raw_loans")})
+    views = raws(spark, sf_dir, ["lines", "raw_loans"])
+    mart = datamart(spark, sf_dir, views)
+    backfill.land_bronze(mart, {"loan_daily": views["raw_loans"]})
     backfill.build_silver(mart, ["loan_daily"])
     backfill.build_labels(mart)
     return mart.gold(backfill.LABELS)
@@ -139,8 +145,9 @@ _LAYERS = (
               f"from {view}" for t, view in _SOURCES.items())))
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of every stored table by snapshot, and raw rows whose date cannot be read."""
-    mart = backfill.Datamart(spark, Staging(spark).root, *span(spark, sf_dir))
-    sources = {t: raw(spark, sf_dir, view) for t, view in _SOURCES.items()}
+    views = raws(spark, sf_dir, ["lines", *_SOURCES.values()])
+    mart = datamart(spark, sf_dir, views)
+    sources = {t: views[view] for t, view in _SOURCES.items()}
     backfill.backfill(mart, sources, clickstream_snapshots=VALID_SNAPSHOTS)
     lost = backfill.unreadable_dates(sources).withColumn("table", F.concat(F.lit("unreadable/"), "table"))
     return backfill.layer_counts(mart).unionByName(lost.withColumn("snapshot_date", F.lit(None).cast("date")))

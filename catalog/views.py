@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from riskmart.functions.encoding import OCCUPATIONS, UNKNOWN_OCCUPATION
 from riskmart.operators.features import CLAMP_COLUMNS, COUNT_COLUMNS
 from riskmart.schemas import CLICKSTREAM_FEATURES, FINANCIAL_TYPES
+from riskmart.sources.scratch import Staging
 
 TABLES = ["customer", "orders", "lineitem", "events", "part"]
 
@@ -312,21 +313,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
-    """A raw view over the tables of ``sf_dir``."""
+def raw(spark: SparkSession, sf_dir: str, view: str, held: dict[str, DataFrame] | None = None) -> DataFrame:
+    """A raw view over the tables of ``sf_dir``, and over the views of ``held`` as they are there."""
+    held = held or {}
+    if view in held:
+        return held[view]
     text = f"select * from {view}"
-    used = _used(text, RAW)
+    used = _used(text, {name: body for name, body in RAW.items() if name not in held})
     statement = ("with " + ",\n".join(f"{name} as ({RAW[name]})" for name in used) + "\n" + text)
     words = set(re.findall(r"\w+", statement))
     tables = {name: table(spark, sf_dir, name) for name in TABLES if name in words}
+    tables |= {name: df for name, df in held.items() if name in words}
     for name in tables:
         statement = re.sub(rf"\b(from|join) {name}\b", rf"\1 {{{name}}}", statement)
     return spark.sql(statement, **tables)
 
 
-def span(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """First and last month in which anything was ordered or shipped."""
-    lines = raw(spark, sf_dir, "lines")
+def raws(spark: SparkSession, sf_dir: str, views: list[str]) -> dict[str, DataFrame]:
+    """Raw views by name, for jobs that read several of them, or one several times.
+
+    The join of lines and the months of customers under them are computed once and written; each view would else repeat them.
+    """
+    staging, held = Staging(spark), {}
+    for name in ("lines", "customer_months"):
+        if any(name in _used(f"select * from {view}", RAW) for view in views):
+            held[name] = staging.table(raw(spark, sf_dir, name, held), name)
+    return {view: raw(spark, sf_dir, view, held) for view in views}
+
+
+def span(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> tuple[str, str]:
+    """First and last month in which anything was ordered or shipped, by ``lines`` where they are at hand."""
+    lines = raw(spark, sf_dir, "lines") if lines is None else lines
     first = F.least(F.min("opened"), F.min("shipped"))
     last = F.greatest(F.max("opened"), F.max("shipped"))
     months = lines.agg(*[F.trunc(day, "month").cast("string").alias(name) for day, name in ((first, "first"), (last, "last"))])

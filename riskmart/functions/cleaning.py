@@ -21,6 +21,9 @@ PAYMENT_BEHAVIOURS = [
 
 MISSING = "na"
 
+# Text without any of these is no number in any form; a cast of it would throw inside Spark, and cost ten times as much.
+_NUMBER_SIGNS = "[0-9]|(?i:nan|inf)"
+
 
 def normalise_key(key: Column) -> Column:
     return F.trim(F.lower(key.cast("string")))
@@ -33,13 +36,20 @@ def as_type(text: Column, kind: str) -> Column:
     return text.try_cast(kind)
 
 
+def number_of(text: Column, kind: str) -> Column:
+    """``as_type`` for a text column of which many cells may hold no number."""
+    return F.when(text.rlike(_NUMBER_SIGNS), as_type(text, kind))
+
+
 def clean_number(text: Column, kind: str) -> Column:
     """Number left after stripping every character but digits, '.' and '-'.
 
     Floats keep two decimals. Text that is still no number, such as '5-', is null.
     """
-    stripped = F.regexp_replace(text.cast("string"), r"[^0-9.\-]", "")
-    number = as_type(stripped, kind)
+    text = text.cast("string")
+    stripped = F.regexp_replace(text, r"[^0-9.\-]", "")
+    # Without a digit nothing is left to parse.
+    number = F.when(text.rlike("[0-9]"), as_type(stripped, kind))
     return F.round(number, 2) if kind == "float" else number
 
 
@@ -65,7 +75,7 @@ def history_months(text: Column) -> Column:
 
     def part(unit: str) -> Column:
         digits = F.regexp_extract(text, rf"(\d+)\s+{unit}", 1)
-        return F.coalesce(digits.try_cast("int"), F.lit(0)).cast("long")
+        return F.coalesce(F.nullif(digits, F.lit("")).try_cast("int"), F.lit(0)).cast("long")
 
     return (part("Years") * 12 + part("Months")).try_cast("int")
 

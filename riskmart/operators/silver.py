@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.functions.cleaning import (
@@ -14,6 +14,7 @@ from riskmart.functions.cleaning import (
     clean_number,
     history_months,
     normalise_key,
+    number_of,
 )
 from riskmart.schemas import (
     ATTRIBUTE_TYPES,
@@ -28,7 +29,13 @@ from riskmart.schemas import (
 
 def enforce_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """The columns named in ``types`` cast where present, the others as they are."""
-    return df.select(*[as_type(F.col(c), types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
+    held = dict(df.dtypes)
+
+    def typed(name: str) -> Column:
+        parse = number_of if held[name] == "string" and types[name] in ("int", "float", "double") else as_type
+        return parse(F.col(name), types[name])
+
+    return df.select(*[typed(c).alias(c) if c in types else F.col(c) for c in df.columns])
 
 
 def normalise_customer(df: DataFrame) -> DataFrame:

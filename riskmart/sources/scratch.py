@@ -8,9 +8,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskmart.settings import METHOD_LIMIT
+
 FOLDER_SETTING = "spark.checkpoint.dir"
 
 
@@ -27,6 +31,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+@contextmanager
+def compiled(spark: SparkSession) -> Iterator[None]:
+    """Stages too large for the JVM to compile are split up in the jobs run inside; a limit that the session has below that stays."""
+    name, limit = METHOD_LIMIT
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), int(limit))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The same rows, computed once and kept on the shared folder."""
     shared_folder(df.sparkSession)
@@ -68,7 +84,8 @@ class Staging:
             writer = df.hint("rebalance", partition_by).write.partitionBy(partition_by)
         else:
             writer = df.write
-        writer.mode("overwrite").parquet(self.path(name))
+        with compiled(self.spark):
+            writer.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name)).select(df.columns)
 
     def remove(self) -> None:

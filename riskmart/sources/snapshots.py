@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskmart.schemas import SNAPSHOT
-from riskmart.sources.scratch import delete_path, hadoop_path
+from riskmart.sources.scratch import compiled, delete_path, hadoop_path
 
 # Text cells keep their blanks on the way out as on the way in; an empty cell is null.
 CSV_OPTIONS = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
@@ -194,8 +194,10 @@ def write_snapshots(
     grouped = df.hint("rebalance", SNAPSHOT) if rebalance else df
     writer = grouped.write.partitionBy(SNAPSHOT)
     if fmt == "csv":
-        writer = writer.options(**CSV_OPTIONS)
-    writer.format(fmt).save(f"{root}/{pending}")
+        # Text is by far the largest of the layers; a large snapshot has several files, so packed ones are still read in parallel.
+        writer = writer.options(**CSV_OPTIONS, compression="gzip")
+    with compiled(spark):
+        writer.format(fmt).save(f"{root}/{pending}")
     _commit(spark, root, pending, covered)
 
 
