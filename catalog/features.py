@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import query
-from catalog.views import VALID_SNAPSHOTS, duck, duck_round, plain, raw, table
+from catalog.views import VALID_SNAPSHOTS, duck, duck_round, plain, raw, raws, table
 from riskmart.functions import encoding
 from riskmart.operators import features, silver
 from riskmart.operators.joins import lookup
@@ -21,32 +21,35 @@ def financials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.silver_financials(raw(spark, sf_dir, "raw_financials"))
 
 
-def stored(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+def stored(spark: SparkSession, sf_dir: str, source: str, views: dict[str, DataFrame] | None = None) -> DataFrame:
     """The silver table of a feature source, written and read back as the layers do."""
+    view = views[f"raw_{source}"] if views else raw(spark, sf_dir, f"raw_{source}")
     build = {
         "financials": silver.silver_financials,
         "attributes": silver.silver_attributes,
         "clickstream": silver.silver_clickstream,
     }[source]
-    return Staging(spark).table(build(raw(spark, sf_dir, f"raw_{source}")), source)
+    return Staging(spark).table(build(view), source)
 
 
-def base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.join_attributes(stored(spark, sf_dir, "financials"), stored(spark, sf_dir, "attributes"))
+def base(spark: SparkSession, sf_dir: str, views: dict[str, DataFrame] | None = None) -> DataFrame:
+    views = views or raws(spark, sf_dir, ["raw_financials", "raw_attributes"])
+    return features.join_attributes(stored(spark, sf_dir, "financials", views), stored(spark, sf_dir, "attributes", views))
 
 
-def full_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+def full_base(spark: SparkSession, sf_dir: str, views: dict[str, DataFrame] | None = None) -> DataFrame:
+    views = views or raws(spark, sf_dir, ["raw_financials", "raw_attributes", "raw_clickstream"])
     financials, attributes, clickstream = (
-        features.in_snapshots(stored(spark, sf_dir, source), VALID_SNAPSHOTS)
+        features.in_snapshots(stored(spark, sf_dir, source, views), VALID_SNAPSHOTS)
         for source in ("financials", "attributes", "clickstream")
     )
     joined = features.join_clickstream(features.join_attributes(financials, attributes), clickstream)
     return features.pad_clickstream(joined)
 
 
-def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gold(spark: SparkSession, sf_dir: str, views: dict[str, DataFrame] | None = None) -> DataFrame:
     """The baseline feature store, its base written by snapshot first."""
-    stored = Staging(spark).table(base(spark, sf_dir), "base", "snapshot_date")
+    stored = Staging(spark).table(base(spark, sf_dir, views), "base", "snapshot_date")
     return features.feature_table(stored, exact=True)
 
 

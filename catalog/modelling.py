@@ -7,22 +7,27 @@ from pyspark.sql import functions as F
 
 from catalog import query
 from catalog.features import full_base, gold
-from catalog.loans import monthly_loans
-from catalog.views import TRAIN_END, VALID_SNAPSHOTS, duck, plain, raw
+from catalog.views import TRAIN_END, VALID_SNAPSHOTS, duck, plain, raw, raws
 from riskmart.operators import features, metrics, model, profile, training
 from riskmart.operators.features import CLAMP_COLUMNS
 from riskmart.operators.loans import label_store
+from riskmart.plans.backfill import silver_loans
 from riskmart.plans.modelling import Evaluation
 from riskmart.plans.modelling import train_evaluate as run_train_evaluate
 from riskmart.sources.scratch import Staging
 from riskmart.sources.snapshots import write_result
 
 
-def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The baseline feature store and the label store, written."""
+    views = raws(spark, sf_dir, ["raw_financials", "raw_attributes", "raw_loans"])
     staging = Staging(spark)
-    store = staging.table(gold(spark, sf_dir), "gold")
-    labels = staging.table(label_store(monthly_loans(spark, sf_dir)), "labels")
-    return staging.table(training.training_set(store, labels), "training")
+    store = staging.table(gold(spark, sf_dir, views), "gold")
+    return store, staging.table(label_store(silver_loans(views["raw_loans"])), "labels")
+
+
+def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Staging(spark).table(training.training_set(*stores(spark, sf_dir)), "training")
 
 
 def train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,10 +132,7 @@ def auc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def evaluated(spark: SparkSession, sf_dir: str, solver: str = "lbfgs") -> Evaluation:
-    staging = Staging(spark)
-    store = staging.table(gold(spark, sf_dir), "gold")
-    labels = staging.table(label_store(monthly_loans(spark, sf_dir)), "labels")
-    return run_train_evaluate(store, labels, "baseline", TRAIN_END, solver=solver)
+    return run_train_evaluate(*stores(spark, sf_dir), "baseline", TRAIN_END, solver=solver)
 
 
 def _newton_sql(wanted: str, steps: int = 12) -> str:
@@ -203,9 +205,10 @@ def train_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def train_evaluate_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of a model fitted on the full store as it is written, clickstream gaps included."""
+    views = raws(spark, sf_dir, ["raw_financials", "raw_attributes", "raw_clickstream", "raw_loans"])
     staging = Staging(spark)
-    store = staging.table(features.feature_table(staging.table(full_base(spark, sf_dir), "base", "snapshot_date"), exact=True), "full")
-    labels = staging.table(label_store(monthly_loans(spark, sf_dir)), "labels")
+    store = staging.table(features.feature_table(staging.table(full_base(spark, sf_dir, views), "base", "snapshot_date"), exact=True), "full")
+    labels = staging.table(label_store(silver_loans(views["raw_loans"])), "labels")
     result = run_train_evaluate(store, labels, "full", VALID_SNAPSHOTS[-3])
     return result.metrics.select("label", "feature_set", "accuracy", "roc_auc")
 
