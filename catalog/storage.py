@@ -108,9 +108,10 @@ def rerun_changed_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_features(spark: SparkSession, sf_dir: str) -> backfill.Datamart:
-    mart = backfill.Datamart(spark, Staging(spark).root, *span(spark, sf_dir))
     tables = ["financials", "attributes", "clickstream"]
-    backfill.land_bronze(mart, {t: raw(spark, sf_dir, f"raw_{t}") for t in tables})
+    views = raws(spark, sf_dir, ["lines", *[f"raw_{t}" for t in tables]])
+    mart = datamart(spark, sf_dir, views)
+    backfill.land_bronze(mart, {t: views[f"raw_{t}"] for t in tables})
     backfill.build_silver(mart, tables)
     backfill.build_features(mart, VALID_SNAPSHOTS, exact=True)
     return mart
