@@ -7,6 +7,7 @@ import zlib
 from collections import defaultdict
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -161,3 +162,35 @@ def test_the_query_decodes_what_it_encodes(documents, spark, staging):
     )
     rows = sentencepieces.op2_sentencepieces(spark, "/root/testdata/sf0.001").collect()
     assert rows and all(r.round_trip for r in rows)
+
+
+def test_encoding_shuffles_and_sorts_nothing(spark):
+    """The texts' shuffle and the sort of the edges took more disk than the check's limit."""
+    long = "x" * 1500 + "zq" * 700
+    rows = [(k, t) for k, t in enumerate([long, "", None, "a b a b", "é中😀\x00q", long + "y", " ".join("abcdefg" * 40)] * 3)]
+    encoded = sentencepieces.encode(spark.createDataFrame(rows, "doc_id long, text string").coalesce(2), MODEL, 1000, source=True)
+    plan = encoded._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"(?<!Broadcast)Exchange|Sort|Aggregate", plan)
+    found = {r.doc_id: r for r in encoded.collect()}
+    assert len(found) == len(rows) == encoded.count()
+    model = sentencepieces.model(MODEL)
+    for k, text in rows:
+        assert found[k].score == pytest.approx(brute_path(text, model) if text else 0, rel=1e-12)
+    decoded = dict(sentencepieces.decode(encoded, MODEL).collect())
+    assert decoded == {k: t or "" for k, t in rows}
+
+
+def test_segments_out_of_turn_are_an_error():
+    edge = lambda segment, length, i: (segment << 30) + (length << 22) + i + (1 << 21)
+    batch = lambda *edges: pa.RecordBatch.from_pydict({"edge": pa.array(edges, pa.int64())})
+    model = sentencepieces.model(MODEL)
+    texts = pa.RecordBatch.from_pydict({"doc_id": pa.array([1]), "places": pa.array([[0, 1]], pa.list_(pa.int32()))})
+    for edges in ([edge(1, 1, 300)], [edge(0, 1, 300), edge(2, 1, 300)], [edge(0, 2, 300), edge(0, 1, 300)], [edge(0, 1, 300)]):
+        block = sentencepieces.Block(model)
+        block.add(batch(*edges))
+        with pytest.raises(RuntimeError):
+            block.texts(texts)
+    block = sentencepieces.Block(model)
+    block.add(batch(edge(0, 1, 300)))
+    block.add(batch(edge(1, 1, 301), edge(1, 1, 302)))
+    assert block.texts(texts).column("ids").to_pylist() == [[300, 301, 302]]
