@@ -38,14 +38,14 @@ from riskmart.llm.registry import query, table
 from riskmart.sources.scratch import Staging
 
 BAR = "▁"
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 MOST_PIECES = 1 << 20
 LONGEST = 127
 UNKNOWN_COST = 10.0
 WINDOW = 256  # starts of substrings in one row, so a long segment is not copied to each of its places
 NAMES = 1 << 15  # segments in one batch
-DECODED_IDS = 1 << 18  # ids decoded at once
-SOLVED_EDGES = 1 << 18  # edges solved at once, and the rest of their last segment
+DECODED_IDS = 1 << 16  # ids decoded at once
+SOLVED_EDGES = 1 << 16  # edges solved at once, and the rest of their last segment
 NUMBERED = ["segment", "name", "reach", "texts"]
 DIGESTS = "doc_id long, n_pieces long, ids_crc32 long, score double"
 ENCODED = "doc_id long, ids array<int>, score double"
@@ -319,16 +319,18 @@ def encode(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES, source: b
 
     def cut(batches):
         cuts, block, size = cutter(path), [], 0
-        for batch in w.blocks(batches):
-            block.append(coded(batch, cuts, source))
-            size += pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
-            if size >= block_bytes:
-                yield from numbered(block, cuts)
-                block, size = [], 0
-                release()
+        for whole in batches:
+            for batch in w.blocks([whole]):
+                block.append(coded(batch, cuts, source))
+                size += pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
+                if size >= block_bytes:
+                    yield from numbered(block, cuts)
+                    block, size = [], 0
+            whole = batch = None  # before the next is read
+            release()
         if block:
             yield from numbered(block, cuts)
-        block = batch = None
+        block = None
         release()
 
     def assemble(batches):
